@@ -232,7 +232,7 @@ SQL: dict[str, str] = {
                CAST(o_totalprice AS DECIMAL(10, 2)) AS amount, CAST(o_orderdate AS DATE) AS order_date
         FROM orders""",
     "raw_batch_files": f"""
-        SELECT 'scheduled__' || {_TEXT_TIME} AS batch_id, CAST(o_orderkey AS VARCHAR) AS transaction_id,
+        SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id, CAST(o_orderkey AS VARCHAR) AS transaction_id,
                {_TEXT_TIME} AS "timestamp", 'STORE-' || (o_custkey % 20) AS store_id,
                CAST(o_custkey AS VARCHAR) AS customer_id, o_totalprice AS total_amount,
                o_orderpriority AS payment_method

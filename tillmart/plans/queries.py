@@ -318,12 +318,9 @@ def _candidate_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Two ready-made predictions, last week's value and last week's mean, scored on the newest fifth."""
     panel = features.features(_category_days(spark, folder), ["category"])
     holdout = features.split(panel, ["category"], 0.2).where("is_holdout")
-    candidates = F.inline(
-        F.array(
-            F.struct(F.lit("lag_7").alias("model_name"), F.col("revenue_lag_7").alias("prediction")),
-            F.struct(F.lit("rolling_7"), F.col("revenue_rolling_7")),
-        )
-    )
+    candidates = F.stack(
+        F.lit(2), F.lit("lag_7"), "revenue_lag_7", F.lit("rolling_7"), "revenue_rolling_7"
+    ).alias("model_name", "prediction")
     predicted = holdout.select("category", "revenue", candidates)
     scores = features.mean_absolute_error(predicted, ["category", "model_name"])
     return scores.withColumn("mae", F.round("mae", 4))

@@ -100,12 +100,13 @@ def receipts(transactions: DataFrame, items: DataFrame) -> DataFrame:
         .withColumn("documents", F.ceil(F.col("n") / LINES_PER_DOCUMENT))
         .drop("n")
     )
+    line = F.struct(F.col("product_id").cast("string").alias("product_id"), "quantity", "unit_price")
     nested = (
         items.withColumn("document", F.monotonically_increasing_id())
         .join(long, "transaction_id", "left")
         .withColumn("document", F.pmod(F.xxhash64("document"), F.coalesce("documents", F.lit(1))))
         .groupBy("transaction_id", "document")
-        .agg(F.collect_list(F.struct(F.col("product_id").cast("string"), "quantity", "unit_price")).alias("items"))
+        .agg(F.collect_list(line).alias("items"))
         .drop("document")
     )
     joined = transactions.join(nested, "transaction_id", "left")
@@ -120,7 +121,7 @@ def headers(transactions: DataFrame) -> DataFrame:
 def _events(receipts: DataFrame, items: Column) -> DataFrame:
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return receipts.select(
-        F.concat(F.lit("scheduled__"), stamp).alias("batch_id"),
+        F.concat(F.lit("scheduled__"), F.date_format("ts", "yyyy-MM"), F.lit("-01T00:00:00+00:00")).alias("batch_id"),
         F.col("transaction_id").cast("string").alias("transaction_id"),
         stamp.alias("timestamp"),
         "store_id",

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tillmart import schemas
 from tillmart.operators.silver import to_items, to_transactions
@@ -68,12 +69,16 @@ def _write(frame: DataFrame, path: str, number: int) -> None:
 
 
 def read_transactions(spark: SparkSession, targets: Targets) -> DataFrame:
-    return spark.read.schema(schemas.TRANSACTIONS).parquet(targets.transactions)
+    return _read(spark, targets.transactions, schemas.TRANSACTIONS)
 
 
 def read_items(spark: SparkSession, targets: Targets) -> DataFrame:
-    return spark.read.schema(schemas.ITEMS).parquet(targets.items)
+    return _read(spark, targets.items, schemas.ITEMS)
 
 
 def read_raw(spark: SparkSession, targets: Targets) -> DataFrame:
-    return spark.read.schema(schemas.POS_EVENT).parquet(targets.raw)
+    return _read(spark, targets.raw, schemas.POS_EVENT)
+
+
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
