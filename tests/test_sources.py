@@ -1,0 +1,169 @@
+"""Files, catalog tables, versions and connector options."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import event, messages, text
+from tillmart import schemas
+from tillmart.plans.queries import _receipts
+from tillmart.operators import silver
+from tillmart.sources import json_files, lookup, messages as pos, star_schema, tables, versions
+
+
+def test_array_files_in_nested_folders(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "one.json").write_text(json.dumps([{"product_id": "p1", "name": "Чайник"}], ensure_ascii=False))
+    (tmp_path / "a" / "b" / "two.json").write_text(json.dumps([{"product_id": "p2", "price": 3}, {"product_id": "p3"}]))
+    (tmp_path / "a" / "notes.txt").write_text("not this one")
+    frame = json_files.read_snapshot(spark, str(tmp_path), schemas.RAW_PRODUCT, json_files.ARRAY)
+    found = {(row.product_id, row.name, row.price) for row in frame.collect()}
+    assert found == {("p1", "Чайник", None), ("p2", None, 3.0), ("p3", None, None)}
+
+
+def test_array_documents_decode_like_lines(spark, tmp_path):
+    documents = [event(1), event(2, items=[]), event(3, store_id=...)]
+    (tmp_path / "array").mkdir()
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "array" / "x.json").write_text(json.dumps(documents, ensure_ascii=False))
+    (tmp_path / "lines" / "x.json").write_text("\n".join(map(text, documents)))
+    for layout in (json_files.ARRAY, json_files.LINES):
+        decoded = pos.decode(json_files.read_documents(spark, f"{tmp_path}/{layout}", layout))
+        assert {row.transaction_id for row in pos.accepted(decoded).collect()} == {"TXN-1", "TXN-2"}
+        assert [row.problems for row in pos.rejected(decoded).collect()] == [["store_id"]]
+
+
+def test_broken_file_raises(spark, tmp_path):
+    (tmp_path / "x.json").write_text('[{"product_id": ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        json_files.read_snapshot(spark, str(tmp_path), schemas.RAW_PRODUCT, json_files.ARRAY).collect()
+
+
+def test_snapshot_is_replaced(spark, tmp_path):
+    path = f"{tmp_path}/crm"
+    for names in (["a", "b"], ["Жанна"]):
+        frame = spark.createDataFrame([(name, None) for name in names], "customer_id STRING, email STRING")
+        json_files.write_snapshot(frame, path)
+    assert [row.customer_id for row in json_files.read_snapshot(spark, path, schemas.RAW_CUSTOMER).collect()] == ["Жанна"]
+
+
+def test_raw_batches_are_replaced_one_by_one(spark, tmp_path):
+    path = f"{tmp_path}/pos"
+    first = [event(n, batch_id="run:1") for n in range(3)] + [event(9, batch_id="run:2", store_id=None)]
+    json_files.write_raw_batches(pos.strict(pos.decode(messages(spark, *first))), path)
+    again = [event(n, batch_id="run:1") for n in range(2)]
+    json_files.write_raw_batches(pos.strict(pos.decode(messages(spark, *again))), path)
+
+    def stored(batch_id):
+        events = pos.strict(pos.decode(json_files.read_raw_batch(spark, path, batch_id)))
+        return sorted(row.transaction_id for row in events.collect())
+
+    assert stored("run:1") == ["TXN-0", "TXN-1"]
+    assert stored("run:2") == ["TXN-9"]
+    plan = json_files.read_raw_batch(spark, path, "run:1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_key" in plan
+
+
+def test_tables(spark, tmp_path):
+    for _ in range(2):
+        tables.ensure_tables(spark, "shop", schemas.SAMPLE_TABLES, f"{tmp_path}/shop")
+    orders = spark.createDataFrame(
+        [("2026-06-01", 250.5, 1, 101), ("2026-06-03", 89.9, 2, 102)],
+        "order_date STRING, amount DOUBLE, customer_id INT, order_id INT",
+    )
+    tables.refresh(orders, "shop.orders")
+    tables.refresh(orders, "shop.orders")
+    tables.append(orders.where("order_id = 101"), "shop.orders")
+    tables.append(orders.where("order_id = 0"), "shop.orders")
+    stored = tables.scan(spark, "shop.orders")
+    assert stored.schema.simpleString() == schemas.LAKE_ORDERS.simpleString()
+    assert sorted(row.order_id for row in stored.collect()) == [101, 101, 102]
+    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE|overwrite"):
+        tables.refresh(stored, "shop.orders")
+
+
+def test_all_contracts_become_tables(spark, tmp_path):
+    contracts = schemas.SILVER_TABLES | schemas.GOLD_TABLES | schemas.FORECAST_TABLES
+    tables.ensure_tables(spark, "contracts", contracts, f"{tmp_path}/contracts")
+    for name, schema in contracts.items():
+        assert spark.table(f"contracts.{name}").schema.simpleString() == schema.simpleString()
+
+
+def test_read_as_of(spark, tmp_path):
+    path = f"{tmp_path}/versions"
+    people = [(1, "Alice", "DE"), (2, "Bob", "NL"), (3, "Carlos", "ES")]
+
+    def commit(rows, number, hour, operation=versions.APPEND):
+        frame = spark.createDataFrame(rows, schemas.LAKE_CUSTOMERS)
+        versions.commit_version(frame, path, number, dt.datetime(2026, 7, 4, hour), operation)
+
+    commit(people, 1, 16)
+    commit([(4, "Diana", "FR")], 2, 18)
+    commit([(4, "Diana", "FR")], 2, 18)
+    commit([(5, "Eve", "PL")], 3, 20, versions.REPLACE)
+    commit([(6, "Finn", "IE")], 4, 22)
+    stored = versions.read_versions(spark, path)
+
+    def ids(hour, minute=10):
+        return sorted(row.id for row in versions.as_of(stored, dt.datetime(2026, 7, 4, hour, minute)).collect())
+
+    assert ids(17) == [1, 2, 3]
+    assert ids(18, 0) == [1, 2, 3, 4]
+    assert ids(21) == [5]
+    assert ids(23) == [5, 6]
+    with pytest.raises(Exception, match="No version at or before"):
+        ids(15)
+    listed = versions.list_versions(stored).orderBy("snapshot_id").collect()
+    assert [(v.snapshot_id, v.parent_id, v.operation, v.added_rows, v.total_rows) for v in listed] == [
+        (1, None, "append", 3, 3),
+        (2, 1, "append", 1, 4),
+        (3, 2, "replace", 1, 1),
+        (4, 3, "append", 1, 2),
+    ]
+
+
+def test_as_of_prunes_partitions(spark, tmp_path):
+    path = f"{tmp_path}/versions"
+    for number in (1, 2):
+        frame = spark.createDataFrame([(number, "x", "DE")], schemas.LAKE_CUSTOMERS)
+        versions.commit_version(frame, path, number, dt.datetime(2026, 7, number))
+    plan = versions.as_of(versions.read_versions(spark, path), dt.datetime(2026, 7, 1))
+    text_ = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_id" in text_ or "PartitionFilters: [(cast(snapshot_id" in text_
+
+
+def test_kafka_and_jdbc_options():
+    assert pos.source_options("b:9092") == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "raw_pos_transactions",
+        "startingOffsets": "earliest",
+    }
+    assert pos.sink_options("b:9092", "t")["kafka.acks"] == "all"
+    assert lookup.partition_options("id", 1, 100, 4)["numPartitions"] == "4"
+
+
+def test_long_receipts_are_nested_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(star_schema, "LINES_PER_DOCUMENT", 50)
+    items = spark.range(1000).selectExpr(
+        "if(id % 3 = 0, 7, id) transaction_id", "id product_id", "1 quantity", "cast(id as double) unit_price"
+    )
+    transactions = spark.range(1000).selectExpr(
+        "id transaction_id", "timestamp_ntz'2026-07-04 10:00:00' ts", "'s' store_id", "id customer_id",
+        "1.0D total_amount", "'card' payment_method",
+    )
+    documents = star_schema.receipts(transactions, items)
+    assert documents.agg(F.max(F.size("items"))).first()[0] < 200
+    found = silver.to_items(documents).selectExpr("cast(product_id as bigint)", "cast(transaction_id as bigint)")
+    expected = items.select("product_id", "transaction_id")
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_round_trip_of_nested_receipts(spark):
+    folder = "/root/testdata/sf0.001"
+    events = pos.strict(pos.decode(pos.encode(_receipts(spark, folder))))
+    orders = star_schema.transactions(spark, folder).withColumn("transaction_id", F.col("transaction_id").cast("string"))
+    orders = orders.withColumn("customer_id", F.col("customer_id").cast("string"))
+    transactions = silver.to_transactions(events)
+    assert transactions.exceptAll(orders).isEmpty() and orders.exceptAll(transactions).isEmpty()
