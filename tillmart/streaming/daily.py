@@ -25,7 +25,7 @@ def receipt_measures(events: DataFrame) -> DataFrame:
 
 
 def daily_sales(receipts: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Receipts, units, revenue and average check per day, over a stream (or a batch) of receipts.
+    """Receipts, units, revenue and average check per day, over a stream of receipts.
 
     A receipt delivered again within ``delay`` counts once, so counting receipts replaces the exact distinct
     count. Both states are bounded: keys live for the delay, and closed days leave the aggregate.
