@@ -1,6 +1,13 @@
 """Column expressions. All of them stay inside generated code."""
 
-from tillmart.functions.events import event_time, line_amount, receipt_total, safe_batch_id, try_event_time
+from tillmart.functions.events import (
+    event_time,
+    line_amount,
+    receipt_total,
+    safe_batch_id,
+    safe_batch_name,
+    try_event_time,
+)
 from tillmart.functions.time import calendar_features, day, in_range, time_grain
 
 __all__ = [
@@ -11,6 +18,7 @@ __all__ = [
     "line_amount",
     "receipt_total",
     "safe_batch_id",
+    "safe_batch_name",
     "time_grain",
     "try_event_time",
 ]

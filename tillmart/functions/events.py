@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,11 @@ def safe_batch_id(batch_id: Column) -> Column:
     return F.regexp_replace(batch_id, UNSAFE_BATCH_CHARACTERS, "_")
 
 
+def safe_batch_name(batch_id: str) -> str:
+    """The same for an id known to the driver."""
+    return re.sub(UNSAFE_BATCH_CHARACTERS, "_", batch_id)
+
+
 def line_amount(quantity: Column, unit_price: Column) -> Column:
     return (quantity * unit_price).cast("double")
 

@@ -16,7 +16,7 @@ from tillmart import schemas
 from tillmart.functions import event_time, receipt_total, safe_batch_id
 from tillmart.operators import features, gold, quality, silver
 from tillmart.plans import forecast, reports
-from tillmart.session import scratch_path, tune
+from tillmart.session import checkpoint_root, scratch_path, tune
 from tillmart.sources import json_files, messages, star_schema, tables, versions
 from tillmart.streaming import daily as daily_stream
 from tillmart.streaming import ingest as ingest_stream
@@ -336,7 +336,8 @@ def best_candidate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_mae(spark: SparkSession, folder: str) -> DataFrame:
-    panel = forecast.training_panel(_category_days(spark, folder), ["category"]).persist()
+    checkpoint_root(spark)
+    panel = forecast.training_panel(_category_days(spark, folder), ["category"]).checkpoint()
     return forecast.score(panel, ["category"])
 
 

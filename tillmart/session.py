@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # * Skew: a hot customer or product ends up in one shuffle partition of a sort-merge join; the adaptive
 #   skew join splits that partition over many tasks. It is forced because the fact join is followed by an
 #   aggregation that reuses its partitioning, and Spark would otherwise give up the split to keep the reuse.
+# * State: receipts seen by a stream are remembered on disk rather than on the heap.
 # * Time zone: receipts keep their wall clock as TIMESTAMP_NTZ; streaming watermarks need TIMESTAMP, and the
 #   two only agree day by day when the session zone is UTC.
 SETTINGS = {
@@ -20,6 +21,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
