@@ -97,6 +97,12 @@ def test_insert_if_absent_repeated_and_null_keys(spark):
         gold.insert_if_absent(none, nulls, ["country"]).collect()
 
 
+def test_insert_if_absent_ignores_null_keys_that_exist(spark):
+    existing = spark.createDataFrame([(None, "x"), ("DE", "y")], schemas.COUNTRY_REGION)
+    new = spark.createDataFrame(REGIONS, schemas.COUNTRY_REGION)
+    assert gold.insert_if_absent(existing, new, ["country"]).count() == 3
+
+
 def test_hot_keys_are_split(spark, tmp_path):
     """With broadcasts off, a customer and a product holding most rows are split over several tasks."""
     hot = spark.range(200_000).select(

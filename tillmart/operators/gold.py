@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +76,9 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> Da
     map-side and leaves unique keys for the anti join.
     """
     values = [column for column in new.columns if column not in keys]
-    missing = reduce(or_, [F.col(key).isNull() for key in keys])
-    checked = new.where(F.when(missing, F.raise_error(F.lit("NULL in a primary key"))).otherwise(True))
+    # Part of the key rather than a filter, which Spark would also apply to the other side of the join.
+    error = F.raise_error(F.lit("NULL in a primary key"))
+    checked = new.withColumns({key: F.coalesce(key, error) for key in keys})
     if values:
         smallest = checked.groupBy(*keys).agg(F.min(F.struct(*values)).alias("row"))
         unique = smallest.select(*keys, "row.*")
