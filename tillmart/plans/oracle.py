@@ -104,6 +104,61 @@ _SCORES = f"""{_PANEL}, holdout AS (
     SELECT category, 'rolling_7', ROUND(AVG(ABS(revenue - revenue_rolling_7)), 4) FROM holdout GROUP BY category
 )"""
 
+
+
+def _least_squares(rows: str) -> str:
+    """CTEs ending in ``coefficients`` (b0..b7, the last for the constant): the normal equations over ``rows`` of
+    ``placed``, solved by Gauss-Jordan elimination."""
+    size = 8
+    steps = "".join(
+        f""", m{k + 1} AS (
+    SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+    FROM m{k} a JOIN m{k} c ON c.i = a.i AND c.j = {k}
+                JOIN m{k} r ON r.i = {k} AND r.j = a.j
+                JOIN m{k} p ON p.i = {k} AND p.j = {k}
+)"""
+        for k in range(size)
+    )
+    values = ", ".join(f"MAX(CASE WHEN i = {k} THEN v END) AS b{k}" for k in range(size))
+    return f"""{_PANEL}, cells AS (
+    SELECT category, sale_date, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS j,
+           unnest([CAST(dow AS DOUBLE), is_weekend, revenue_lag_1, revenue_lag_2, revenue_lag_7,
+                   revenue_rolling_3, revenue_rolling_7, 1.0, revenue]) AS v
+    FROM placed WHERE {rows}
+), m0 AS (
+    SELECT x.j AS i, y.j AS j, SUM(x.v * y.v) AS v
+    FROM cells x JOIN cells y ON x.category = y.category AND x.sale_date = y.sale_date
+    WHERE x.j < {size} GROUP BY 1, 2
+){steps}, coefficients AS (SELECT {values} FROM m{size} WHERE j = {size})"""
+
+
+def _predicted(dow: str, weekend: str, lag_1: str, lag_2: str, lag_7: str, mean_3: str, mean_7: str) -> str:
+    return (
+        f"b0 * {dow} + b1 * {weekend} + b2 * {lag_1} + b3 * {lag_2} + b4 * {lag_7}"
+        f" + b5 * {mean_3} + b6 * {mean_7} + b7"
+    )
+
+
+def _rolled(days: int) -> str:
+    """CTEs s0..s<days>: per category the date and the seven newest revenues, r1 the newest."""
+    newest = ", ".join(f"MAX(CASE WHEN age = {k} THEN revenue END) AS r{k}" for k in range(1, 8))
+    shifted = ", ".join(f"r{k} AS r{k + 1}" for k in range(1, 7))
+    dow = "(isodow(sale_date + 1) - 1)"
+    weekend = "(CASE WHEN isodow(sale_date + 1) >= 6 THEN 1 ELSE 0 END)"
+    value = _predicted(
+        dow, weekend, "r1", "r2", "r7", "((r1 + r2 + r3) / 3)", "((r1 + r2 + r3 + r4 + r5 + r6 + r7) / 7)"
+    )
+    steps = "".join(
+        f""", s{k + 1} AS (
+    SELECT category, sale_date + 1 AS sale_date, {value} AS r1, {shifted} FROM s{k}, coefficients
+)"""
+        for k in range(days)
+    )
+    return f""", aged AS (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY sale_date DESC) AS age FROM category_days
+), s0 AS (SELECT category, MAX(sale_date) AS sale_date, {newest} FROM aged GROUP BY category){steps}"""
+
+
 _TEXT_TIME = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 _HEADERS = """
 SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, o_orderdate AS ts,
@@ -265,6 +320,16 @@ SQL: dict[str, str] = {
             SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY mae, model_name) AS place FROM scores
         )
         SELECT category, model_name, mae FROM ranked WHERE place = 1""",
+    "linear_model_mae": f"""{_least_squares("n < size")}
+        SELECT category, ROUND(ABS(revenue - ({_predicted(
+            "dow", "is_weekend", "revenue_lag_1", "revenue_lag_2", "revenue_lag_7",
+            "revenue_rolling_3", "revenue_rolling_7",
+        )})), 1) AS mae
+        FROM placed, coefficients WHERE n = size""",
+    "linear_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}
+        {" UNION ALL ".join(
+            f"SELECT category, sale_date, ROUND(r1, 1) AS revenue_forecast FROM s{day}" for day in range(1, 8)
+        )}""",
     "stream_daily_sales": """
         SELECT CAST(ts AS DATE) AS sale_date, COUNT(DISTINCT event_id) AS transactions_count,
                CAST(SUM(CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)) AS BIGINT) AS items_sold,
