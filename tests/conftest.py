@@ -12,6 +12,7 @@ from tillmart.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(cores="8")
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()

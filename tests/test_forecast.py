@@ -144,3 +144,9 @@ def test_no_history_no_forecast(spark):
     found = fc.forecast(days(spark, 13).drop("series_id"), forest=SMALL)
     assert found.columns == ["sale_date", "revenue_forecast", "model_name", "generated_at"]
     assert found.isEmpty()
+
+
+def test_series_without_a_name_is_a_series(spark):
+    panel = days(spark, 30, "a").unionByName(days(spark, 30, "x").withColumn("series_id", F.lit(None).cast("string")))
+    found = fc.forecast(panel, ["series_id"], days=2, forest=SMALL)
+    assert {row.series_id: row["count"] for row in found.groupBy("series_id").count().collect()} == {"a": 2, None: 2}

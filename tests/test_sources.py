@@ -10,6 +10,7 @@ from tests.rows import event, messages, text
 from tillmart import schemas
 from tillmart.plans.queries import _receipts
 from tillmart.operators import silver
+from tillmart.session import checkpoint_root, scratch_path, tune
 from tillmart.sources import json_files, lookup, messages as pos, star_schema, tables, versions
 
 
@@ -167,3 +168,21 @@ def test_round_trip_of_nested_receipts(spark):
     orders = orders.withColumn("customer_id", F.col("customer_id").cast("string"))
     transactions = silver.to_transactions(events)
     assert transactions.exceptAll(orders).isEmpty() and orders.exceptAll(transactions).isEmpty()
+
+
+def test_tune_raises_shuffle_partitions_only_when_needed(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        tune(spark, largest_shuffle=1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        tune(spark, largest_shuffle=100 * 1024**4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "524288"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scratch_lies_below_the_checkpoint_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert checkpoint_root(spark) == root
+    assert scratch_path(spark, "x").startswith(f"{root}/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -8,6 +8,8 @@ them costs one shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ FEATURES = (
 )
 MIN_HISTORY_ROWS = 14
 MIN_FEATURE_ROWS = 3
+# What a row must have to be trained on; the name of its series may be NULL.
+NEEDED = ("sale_date", "revenue", *FEATURES)
 STATE_LENGTH = max(*LAGS, *ROLLING)
 
 
@@ -47,14 +51,11 @@ def with_features(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
 
 def features(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """The rows on which a model can be trained: those without any NULL."""
-    return with_features(daily, series).dropna()
+    return with_features(daily, series).dropna(subset=list(NEEDED))
 
 
-def is_complete(columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for column in columns:
-        condition = condition & F.col(column).isNotNull()
-    return condition
+def is_complete() -> Column:
+    return reduce(and_, [F.col(column).isNotNull() for column in NEEDED])
 
 
 def history_gate(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -62,7 +63,7 @@ def history_gate(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     framed = with_features(daily, series)
     counted = framed.groupBy(*series).agg(
         F.count("*").alias("history"),
-        F.count_if(is_complete(framed.columns)).alias("usable"),
+        F.count_if(is_complete()).alias("usable"),
     )
     short = F.col("history") < MIN_HISTORY_ROWS
     return counted.select(

@@ -159,6 +159,13 @@ def _rolled(days: int) -> str:
 ), s0 AS (SELECT category, MAX(sale_date) AS sale_date, {newest} FROM aged GROUP BY category){steps}"""
 
 
+_PREDICTED_ROW = _predicted(
+    "dow", "is_weekend", "revenue_lag_1", "revenue_lag_2", "revenue_lag_7", "revenue_rolling_3", "revenue_rolling_7"
+)
+_ROLLED_DAYS = " UNION ALL ".join(
+    f"SELECT category, sale_date, ROUND(r1, 1) AS revenue_forecast FROM s{day}" for day in range(1, 8)
+)
+
 _TEXT_TIME = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 _HEADERS = """
 SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, o_orderdate AS ts,
@@ -321,15 +328,10 @@ SQL: dict[str, str] = {
         )
         SELECT category, model_name, mae FROM ranked WHERE place = 1""",
     "linear_model_mae": f"""{_least_squares("n < size")}
-        SELECT category, ROUND(ABS(revenue - ({_predicted(
-            "dow", "is_weekend", "revenue_lag_1", "revenue_lag_2", "revenue_lag_7",
-            "revenue_rolling_3", "revenue_rolling_7",
-        )})), 1) AS mae
+        SELECT category, ROUND(ABS(revenue - ({_PREDICTED_ROW})), 1) AS mae
         FROM placed, coefficients WHERE n = size""",
     "linear_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}
-        {" UNION ALL ".join(
-            f"SELECT category, sale_date, ROUND(r1, 1) AS revenue_forecast FROM s{day}" for day in range(1, 8)
-        )}""",
+        {_ROLLED_DAYS}""",
     "stream_daily_sales": """
         SELECT CAST(ts AS DATE) AS sale_date, COUNT(DISTINCT event_id) AS transactions_count,
                CAST(SUM(CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)) AS BIGINT) AS items_sold,

@@ -27,10 +27,22 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to a running session and return it."""
+# Shuffled data that one task should hold.
+BYTES_PER_TASK = 200 * 1024**2
+
+
+def tune(spark: SparkSession, largest_shuffle: int | None = None) -> SparkSession:
+    """Apply the runtime settings above to a running session and return it.
+
+    With the size in bytes of the largest expected shuffle, the number of shuffle partitions is raised so that
+    each fits a task; adaptive execution merges them again where a shuffle is smaller.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if largest_shuffle is not None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-largest_shuffle // BYTES_PER_TASK)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(partitions, needed)))
     return spark
 
 
