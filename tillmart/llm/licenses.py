@@ -152,7 +152,7 @@ def fit(others: list[str], steps: int = 400) -> Classifier:
     """
     families = [*TEMPLATES, UNKNOWN]
     gram = {g: n for n, g in enumerate(sorted({g for ts in TEMPLATES.values() for t in ts for g in _grams(words(t))}))}
-    single = {w for ts in TEMPLATES.values() for t in ts for w in words(t)}
+    templates = [words(t) for ts in TEMPLATES.values() for t in ts]
     examples: list[tuple[list[str], int]] = []
     for label, family in enumerate(families[:-1]):
         for template in TEMPLATES[family]:
@@ -160,7 +160,10 @@ def fit(others: list[str], steps: int = 400) -> Classifier:
     unknown = len(families) - 1
     for text in others:
         parts = words(text)
-        if not any(_covered(words(t), parts) >= LEAST_COVERED for ts in TEMPLATES.values() for t in ts if single.intersection(parts)):
+        used = set(parts)
+        # a template can't be covered if too few of its words are there at all
+        near = [t for t in templates if sum(w in used for w in t) >= LEAST_COVERED * len(t)]
+        if not any(_covered(t, parts) >= LEAST_COVERED for t in near):
             examples.append((parts, unknown))
     # texts that speak of licences without naming a known one
     for text in ("All rights reserved.", "This file has a license.", "See the license for more.", "Licensed under our own terms.", "the public general version of this work", ""):

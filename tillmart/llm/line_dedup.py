@@ -9,8 +9,11 @@ a line stays unless a run says that it is frequent and that another document kee
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tillmart.llm.common import stored
 from tillmart.session import scratch_path
@@ -47,33 +50,69 @@ def line_hashes(docs: DataFrame) -> DataFrame:
 
 
 class LineRuns:
-    """The levelled runs below a folder."""
+    """The levelled runs below a folder, which a later session finds again when it is given the same folder.
+
+    The list of runs is written anew with each batch, under the next number and after the runs themselves; the highest number
+    counts. A batch that fails half-way leaves the list as it was.
+    """
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.root = (root or scratch_path(spark, "line-runs")).rstrip("/")
+        self.number, self.levels = 0, [[]]
+        try:
+            lists = spark.read.schema(_LISTS).parquet(f"{self.root}/list")
+        except AnalysisException:
+            return
+        last = lists.agg(F.max("number")).first()[0]
+        if last is not None:
+            rows = lists.where(F.col("number") == last).collect()  # as many as there are runs
+            self.number = last
+            self.levels = [[r["path"] for r in rows if r["level"] == n] for n in range(1 + max(r["level"] for r in rows))]
 
     def add(self, lines: DataFrame) -> None:
         """Add the run of a batch of new documents (rows of ``line_hashes``)."""
         of_doc = lines.select("doc_id", "h1", "h2").distinct()
         run = of_doc.groupBy("h1", "h2").agg(F.count("*").alias("documents"), F.max("doc_id").alias("keeper"))
-        self._put(0, run)
-
-    def _put(self, level: int, run: DataFrame) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        sorted_run = run.sortWithinPartitions("h1", "h2")
-        self.levels[level].append(stored(self.spark, sorted_run, f"line-run-{level}"))
-        if len(self.levels[level]) >= self.fanout:
-            merged = _merged(self.levels[level])
-            self.levels[level] = []
-            self._put(level + 1, merged)
+        levels = [list(level) for level in self.levels]
+        level = 0
+        levels[0].append(self._write(run, 0))
+        while len(levels[level]) >= self.fanout:
+            merged = self._write(_merged([self._read(path) for path in levels[level]]), level + 1)
+            levels[level] = []
+            level += 1
+            levels += [[]] * (level == len(levels))
+            levels[level].append(merged)
+        rows = [(self.number + 1, n, path) for n, paths in enumerate(levels) for path in paths]
+        self.spark.createDataFrame(rows, _LISTS).coalesce(1).write.mode("append").parquet(f"{self.root}/list")
+        self.number, self.levels = self.number + 1, levels
+
+    def _write(self, run: DataFrame, level: int) -> str:
+        path = f"{self.root}/level-{level}/run-{uuid.uuid4().hex}"
+        run.sortWithinPartitions("h1", "h2").write.parquet(path)
+        return path
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path)
 
     def read(self) -> DataFrame | None:
         """(h1, h2, documents, keeper) over all runs."""
-        runs = [run for level in self.levels for run in level]
+        runs = [self._read(path) for level in self.levels for path in level]
         return _merged(runs) if runs else None
 
+    def dedup(self, docs: DataFrame) -> DataFrame:
+        """A new batch of documents without the lines that, by the runs and its own one, another document keeps.
+
+        Columns as :func:`dedup_lines` returns them. Documents of earlier batches are not looked at again: a line they
+        gave out before it was frequent, or before a larger doc_id came, stays in them.
+        """
+        lines = stored(self.spark, line_hashes(docs), "line-hashes")
+        self.add(lines)
+        return apply_positions(docs, surviving_positions(self.spark, lines, self.read()))
+
+
+_LISTS = "number bigint, level int, path string"
+
 
 def _merged(runs: list[DataFrame]) -> DataFrame:
     if len(runs) == 1:

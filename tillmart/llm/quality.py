@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 FACTORS = 8
-EPOCHS = 12
+EPOCHS = 8
 # Labelled documents that the machine is fitted on at most: those with the smallest hash of doc_id.
-SAMPLE = 6_000
+SAMPLE = 5_000
 THRESHOLD = 0.3
 FOLDS = 5
 
