@@ -34,7 +34,8 @@ def to_products(raw: DataFrame) -> DataFrame:
 
 
 def to_transactions(events: DataFrame) -> DataFrame:
-    """One row per receipt, also for receipts without items."""
+    """One row per receipt, also for receipts without items; of one in several documents the first has the header."""
+    events = events.where(F.coalesce("part", F.lit(0)) == 0) if "part" in events.columns else events
     return conform(events.withColumn("ts", event_time(F.col("timestamp"))), schemas.TRANSACTIONS)
 
 

@@ -56,6 +56,8 @@ POS_EVENT = _table(
     items=ArrayType(_table(product_id=STRING, quantity=INT, unit_price=DOUBLE)),
     total_amount=DOUBLE,
     payment_method=STRING,
+    # Number of the document for a receipt that is spread over several, from 0; absent for a whole receipt.
+    part=INT,
 )
 # A receipt without one of these cannot be loaded.
 EVENT_REQUIRED = (

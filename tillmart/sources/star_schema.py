@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillmart import schemas
@@ -90,8 +90,9 @@ def country_region(spark: SparkSession, folder: str) -> DataFrame:
 def receipts(transactions: DataFrame, items: DataFrame) -> DataFrame:
     """POS events with nested items, from flat receipts and lines.
 
-    Receipts without lines have an empty list. A receipt with very many lines is spread over several
-    documents of bounded size: lines are counted per receipt, and only the long ones, if any, are split.
+    Receipts without lines have an empty list. A receipt with very many lines is spread over several numbered
+    documents of bounded size: lines are counted per receipt, and only the long ones, if any, are split. Document 0
+    is always there and stands for the receipt, so its length changes nothing but the number of documents.
     """
     long = (
         items.groupBy("transaction_id")
@@ -105,20 +106,17 @@ def receipts(transactions: DataFrame, items: DataFrame) -> DataFrame:
         items.withColumn("document", F.monotonically_increasing_id())
         .join(long, "transaction_id", "left")
         .withColumn("document", F.pmod(F.xxhash64("document"), F.coalesce("documents", F.lit(1))))
-        .groupBy("transaction_id", "document")
+        .groupBy("transaction_id", F.col("document").cast("int").alias("document"))
         .agg(F.collect_list(line).alias("items"))
-        .drop("document")
     )
-    joined = transactions.join(nested, "transaction_id", "left")
-    return _events(joined, F.coalesce("items", _no_items()))
+    # Documents are numbered anew, as none of the lines of a long receipt may have come to some of them.
+    order = Window.partitionBy("transaction_id").orderBy("document")
+    numbered = nested.withColumn("part", F.row_number().over(order) - 1).drop("document")
+    joined = transactions.join(numbered, "transaction_id", "left")
+    return _events(joined, F.coalesce("items", _no_items()), F.coalesce("part", F.lit(0)))
 
 
-def headers(transactions: DataFrame) -> DataFrame:
-    """POS events with an empty item list, from flat receipts."""
-    return _events(transactions, _no_items())
-
-
-def _events(receipts: DataFrame, items: Column) -> DataFrame:
+def _events(receipts: DataFrame, items: Column, part: Column) -> DataFrame:
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return receipts.select(
         F.concat(F.lit("scheduled__"), F.date_format("ts", "yyyy-MM"), F.lit("-01T00:00:00+00:00")).alias("batch_id"),
@@ -129,6 +127,7 @@ def _events(receipts: DataFrame, items: Column) -> DataFrame:
         items.alias("items"),
         "total_amount",
         "payment_method",
+        part.alias("part"),
     )
 
 
