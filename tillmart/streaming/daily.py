@@ -10,8 +10,16 @@ from tillmart import schemas
 from tillmart.functions import event_time, line_amount
 
 
-def receipt_measures(events: DataFrame) -> DataFrame:
-    """(transaction_id, ts, items_sold, revenue) from receipts with nested items."""
+def receipt_measures(events: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """(transaction_id, ts, items_sold, revenue, part) from receipts with nested items.
+
+    As in the batch mart, receipts without items do not count; nor, with the static table ``customers``, do those of unknown
+    customers. Products are not looked up: a stream of receipts whose products must be known goes through
+    Silver and the batch mart.
+    """
+    if customers is not None:
+        events = events.join(customers.select("customer_id").distinct(), "customer_id")
+    events = events.where(F.size("items") > 0)
     units = F.aggregate("items", F.lit(0).cast("bigint"), lambda sum_, item: sum_ + item.quantity)
     amount = F.aggregate(
         "items", F.lit(0.0), lambda sum_, item: sum_ + line_amount(item.quantity, item.unit_price)
@@ -21,20 +29,25 @@ def receipt_measures(events: DataFrame) -> DataFrame:
         event_time(F.col("timestamp")).alias("ts"),
         units.alias("items_sold"),
         amount.alias("revenue"),
+        F.coalesce("part", F.lit(0)).alias("part"),
     )
 
 
 def daily_sales(receipts: DataFrame, delay: str = "1 day") -> DataFrame:
     """Receipts, units, revenue and average check per day, over a stream of receipts.
 
-    A receipt delivered again within ``delay`` counts once, so counting receipts replaces the exact distinct
+    A receipt that comes more than ``delay`` after newer ones is dropped; :func:`late_rows` counts these. A receipt
+    delivered again within ``delay`` counts once, so counting receipts replaces the exact distinct
     count. Both states are bounded: keys live for the delay, and closed days leave the aggregate.
     """
     # Watermarks need an instant; with the session zone at UTC it names the same day as the wall clock.
     timed = receipts.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    once = timed.dropDuplicatesWithinWatermark(["transaction_id"])
+    # a receipt in several documents counts with its first one
+    parts = ["part"] if "part" in receipts.columns else []
+    first = F.count_if(F.col("part") == 0) if parts else F.count("*")
+    once = timed.dropDuplicatesWithinWatermark(["transaction_id", *parts])
     per_day = once.groupBy(F.window("ts", "1 day")).agg(
-        F.count("*").alias("transactions_count"),
+        first.alias("transactions_count"),
         F.sum("items_sold").cast("bigint").alias("items_sold"),
         F.sum("revenue").alias("revenue"),
     )
@@ -70,5 +83,16 @@ def maintain(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the finished query dropped because they came later than the watermark allows."""
+    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
+
+
+def require_none_late(query: StreamingQuery) -> None:
+    """Refuse to go on with days that miss late receipts; a longer delay or the batch mart has them."""
+    if late := late_rows(query):
+        raise ValueError(f"{late} rows came later than the watermark allows and are not in the daily sales.")
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SALES_DAILY).parquet(path).select(*schemas.SALES_DAILY.fieldNames())

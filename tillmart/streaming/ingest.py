@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,15 +12,22 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillmart import schemas
+from tillmart.functions import safe_batch_id
 from tillmart.operators.silver import to_items, to_transactions
-from tillmart.sources.messages import accepted, decode, rejected
+from tillmart.sources.json_files import BATCH_KEY
+from tillmart.sources.messages import MESSAGE, PROBLEMS, accepted, decode, rejected, strict
 
-MICRO_BATCH = "micro_batch"
+RUN, MICRO_BATCH = "run", "micro_batch"
 
 
 @dataclass(frozen=True)
 class Targets:
-    """Folders the stream fills. All are partitioned by micro-batch."""
+    """Folders the stream fills.
+
+    Raw holds the accepted messages as they came, below their batch, where
+    :func:`tillmart.sources.json_files.read_raw_batch` finds them. All are partitioned by run and micro-batch; a run is a
+    checkpoint, so a stream that starts anew with another one adds and overwrites nothing.
+    """
 
     raw: str
     transactions: str
@@ -39,14 +47,16 @@ def ingest(messages: DataFrame, targets: Targets, checkpoint: str, value: str =
     alternative.
     """
 
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def write(batch: DataFrame, number: int) -> None:
         decoded = decode(batch, value=value).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = accepted(decoded)
-            _write(events, targets.raw, number)
-            _write(to_transactions(events), targets.transactions, number)
-            _write(to_items(events), targets.items, number)
-            _write(rejected(decoded), targets.rejected, number)
+            _write(_raw(decoded), targets.raw, run, number, BATCH_KEY)
+            _write(to_transactions(events), targets.transactions, run, number)
+            _write(to_items(events), targets.items, run, number)
+            _write(rejected(decoded), targets.rejected, run, number)
         finally:
             decoded.unpersist()
 
@@ -58,13 +68,20 @@ def ingest(messages: DataFrame, targets: Targets, checkpoint: str, value: str =
     )
 
 
-def _write(frame: DataFrame, path: str, number: int) -> None:
+def _raw(decoded: DataFrame) -> DataFrame:
+    """The accepted messages, each on one line: line breaks can only stand between the tokens of a document."""
+    fine = decoded.where(F.size(PROBLEMS) == 0)
+    return fine.select(safe_batch_id(F.col("batch_id")).alias(BATCH_KEY), F.regexp_replace(MESSAGE, r"[\r\n]+", " ").alias("value"))
+
+
+def _write(frame: DataFrame, path: str, run: str, number: int, *above: str) -> None:
     (
-        frame.withColumn(MICRO_BATCH, F.lit(number))
+        frame.withColumns({RUN: F.lit(run), MICRO_BATCH: F.lit(number)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MICRO_BATCH)
-        .parquet(path)
+        .partitionBy(*above, RUN, MICRO_BATCH)
+        .format("text" if above else "parquet")
+        .save(path)
     )
 
 
@@ -77,7 +94,7 @@ def read_items(spark: SparkSession, targets: Targets) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, targets: Targets) -> DataFrame:
-    return _read(spark, targets.raw, schemas.POS_EVENT)
+    return strict(decode(spark.read.text(targets.raw)))
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
