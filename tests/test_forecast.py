@@ -150,3 +150,26 @@ def test_series_without_a_name_is_a_series(spark):
     panel = days(spark, 30, "a").unionByName(days(spark, 30, "x").withColumn("series_id", F.lit(None).cast("string")))
     found = fc.forecast(panel, ["series_id"], days=2, forest=SMALL)
     assert {row.series_id: row["count"] for row in found.groupBy("series_id").count().collect()} == {"a": 2, None: 2}
+
+
+def test_a_gap_stops_only_its_own_series(spark):
+    gap = [100.0 + n for n in range(40)]
+    gap[-3] = None
+    good, bad, short = days(spark, 40, "good"), days(spark, 40, "bad", gap), days(spark, 5, "short")
+    panel = good.unionByName(bad).unionByName(short)
+    found = fc.forecast(panel, ["series_id"], days=3, forest=SMALL)
+    assert {row.series_id for row in found.collect()} == {"good"} and found.count() == 3
+    reasons = {row.series_id: row.reason for row in fc.skipped(panel, ["series_id"]).collect()}
+    assert reasons == {"bad": "gap among the last values", "short": "too little history"}
+
+
+def test_training_tasks_follow_from_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(fc, "ROWS_PER_TRAINING_TASK", 10)
+    panel = days(spark, 95)
+    assert fc.for_training(panel, ["series_id"]).withColumn("part", F.spark_partition_id()).select("part").distinct().count() <= 9
+    shapes = [
+        sorted((row.part, *row.days) for row in fc.for_training(frame, ["series_id"])
+               .withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.collect_list("sale_date").alias("days")).collect())
+        for frame in (panel, panel.repartition(13), panel.coalesce(1))
+    ]
+    assert shapes[0] == shapes[1] == shapes[2]

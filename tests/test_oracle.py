@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tillmart.plans.oracle import SQL
+from tillmart.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -30,10 +31,10 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows(spark, duck, name):
-    frame = queries()[name](spark, FOLDER)
-    result = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, FOLDER)
+    result = duck.execute(SQL[name])
     columns = [column[0] for column in result.description]
     types = {column[0]: str(column[1]) for column in result.description}
     expected = normal(result.fetchall(), columns)
@@ -45,4 +46,4 @@ def test_same_rows(spark, duck, name):
 
 
 def test_sql_names_are_queries():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(SQL) <= set(QUERIES)

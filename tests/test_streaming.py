@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import event, messages, text
 from tillmart.operators import gold, silver
+from tillmart.sources import json_files
 from tillmart.sources.messages import decode, strict
 from tillmart.streaming import daily, ingest
 
@@ -23,7 +24,8 @@ def test_ingest(spark, tmp_path):
         topic = spark.readStream.text(str(tmp_path / "topic"))
         ingest.ingest(topic, targets, f"{tmp_path}/checkpoint").awaitTermination()
 
-    first, second = [event(1), event(2, items=[])], [event(3), event(4, store_id=...), "not json"]
+    poison = event(5, timestamp="the 4th of July")
+    first, second = [event(1), event(2, items=[])], [event(3), event(4, store_id=...), "not json", poison]
     deliver(tmp_path / "topic", "1.txt", *first)
     run()
     run()
@@ -37,8 +39,9 @@ def test_ingest(spark, tmp_path):
         (ingest.read_raw(spark, targets), events),
     ):
         assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
-    problems = sorted(row.problems for row in spark.read.parquet(targets.rejected).collect())
-    assert problems == [["malformed"], ["store_id"]]
+    assert json_files.read_raw_batch(spark, targets.raw, event(1)["batch_id"]).count() == 3
+    kept = sorted((row.problems, row.message) for row in spark.read.parquet(targets.rejected).collect())
+    assert kept == [(["malformed"], "not json"), (["store_id"], text(event(4, store_id=...))), (["timestamp value"], text(poison))]
 
 
 @pytest.fixture
@@ -74,7 +77,23 @@ def test_daily_stream_equals_batch(spark, tmp_path, receipts):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_empty_receipts_unknown_customers_and_late_ones(spark, tmp_path):
+    deliver(tmp_path / "topic", "1.txt", event(1), event(2, items=[]), event(3, customer_id="nobody"))
+    deliver(tmp_path / "topic", "2.txt", event(4, timestamp="2026-07-20T10:00:00"))
+    deliver(tmp_path / "topic", "3.txt", event(5, timestamp="2026-07-01T10:00:00"))
+    customers = spark.createDataFrame([(event(1)["customer_id"],)], "customer_id string")
+    topic = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "topic"))
+    measured = daily.daily_sales(daily.receipt_measures(strict(decode(topic)), customers))
+    query = daily.maintain(measured, f"{tmp_path}/days", f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    found = sorted((row.transactions_count, row.avg_check) for row in daily.read_daily(spark, f"{tmp_path}/days").collect())
+    assert found == [(1, 210.5), (1, 210.5)]
+    assert daily.late_rows(query) == 1
+    with pytest.raises(ValueError, match="1 rows came later"):
+        daily.require_none_late(query)
+
+
 def test_receipts_keep_their_wall_clock(spark):
     events = strict(decode(messages(spark, event(1, timestamp="2026-07-04T23:30:00-05:00"))))
     row = daily.receipt_measures(events).first()
-    assert tuple(row) == ("TXN-1", dt.datetime(2026, 7, 4, 23, 30), 3, 210.5)
+    assert tuple(row) == ("TXN-1", dt.datetime(2026, 7, 4, 23, 30), 3, 210.5, 0)

@@ -84,4 +84,5 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> Da
         unique = smallest.select(*keys, "row.*")
     else:
         unique = checked.distinct()
-    return unique.join(existing.select(*keys), keys, "left_anti").select(*new.columns)
+    # The other side is reduced as well: the right side of an anti join is not split where a key is hot.
+    return unique.join(existing.select(*keys).distinct(), keys, "left_anti").select(*new.columns)

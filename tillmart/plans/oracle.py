@@ -183,6 +183,15 @@ WITH v AS (
     FROM orders
 )"""
 
+_WHOLE_RECEIPTS = f"""
+        SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id,
+               CAST(o_orderkey AS VARCHAR) AS transaction_id,
+               {_TEXT_TIME} AS "timestamp", 'STORE-' || (o_custkey % 20) AS store_id,
+               CAST(o_custkey AS VARCHAR) AS customer_id, o_totalprice AS total_amount,
+               o_orderpriority AS payment_method, CAST(l_partkey AS VARCHAR) AS product_id,
+               CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice / l_quantity AS unit_price
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey"""
+
 SQL: dict[str, str] = {
     "fact_sales": f"{_FACT} SELECT * FROM fact",
     "sales_daily": f"{_MARTS} SELECT * FROM daily",
@@ -194,16 +203,18 @@ SQL: dict[str, str] = {
     "kpi_transactions": f"{_MARTS} SELECT CAST(SUM(transactions_count) AS BIGINT) AS transactions FROM daily",
     "kpi_avg_check": f"{_MARTS} SELECT ROUND(AVG(avg_check), 4) AS avg_check FROM daily",
     "trend_revenue": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
+        GROUP BY sale_date ORDER BY sale_date""",
+    "trend_revenue_limited": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
         GROUP BY sale_date ORDER BY sale_date LIMIT 10000""",
     "trend_revenue_range": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
         WHERE sale_date >= DATE '1997-01-01' AND sale_date < DATE '1998-01-01'
-        GROUP BY sale_date ORDER BY sale_date LIMIT 10000""",
+        GROUP BY sale_date ORDER BY sale_date""",
     "trend_revenue_monthly": f"""{_MARTS}
         SELECT CAST(date_trunc('month', sale_date) AS DATE) AS sale_date, ROUND(SUM(revenue), 2) AS revenue
-        FROM daily GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+        FROM daily GROUP BY 1 ORDER BY 1""",
     "trend_transactions": f"""{_MARTS}
         SELECT sale_date, CAST(SUM(transactions_count) AS BIGINT) AS transactions
-        FROM daily GROUP BY sale_date ORDER BY sale_date LIMIT 10000""",
+        FROM daily GROUP BY sale_date ORDER BY sale_date""",
     "top10_products": f"""{_MARTS}
         SELECT product_name, ROUND(SUM(revenue), 2) AS revenue FROM product_sales
         GROUP BY product_name ORDER BY 2 DESC, 1 LIMIT 10""",
@@ -248,7 +259,7 @@ SQL: dict[str, str] = {
         )
         SELECT batch_id, expected, received, received = expected AS passed FROM announced""",
     "event_json_roundtrip": """
-        SELECT event_id, user_id, event_type, value,
+        SELECT event_id, ts, user_id, event_type, value,
                CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
         FROM events""",
     "gold_row_counts": f"{_COUNTS} SELECT * FROM counts",
@@ -279,13 +290,6 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT c_custkey, c_mktsegment FROM customer
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
-    "version_list": f"""{_VERSIONS}, commits AS (
-            SELECT committed_at, snapshot_id, COUNT(*) AS added_rows FROM v GROUP BY 1, 2
-        )
-        SELECT committed_at, snapshot_id, LAG(snapshot_id) OVER (ORDER BY snapshot_id) AS parent_id,
-               'append' AS operation, added_rows,
-               CAST(SUM(added_rows) OVER (ORDER BY snapshot_id) AS BIGINT) AS total_rows
-        FROM commits""",
     "as_of_read": f"""{_VERSIONS}
         SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM v
         WHERE committed_at <= (SELECT MAX(committed_at) FROM v WHERE committed_at <= TIMESTAMP '2000-07-01')""",
@@ -293,12 +297,8 @@ SQL: dict[str, str] = {
         SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id,
                CAST(o_totalprice AS DECIMAL(10, 2)) AS amount, CAST(o_orderdate AS DATE) AS order_date
         FROM orders""",
-    "raw_batch_files": f"""
-        SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id, CAST(o_orderkey AS VARCHAR) AS transaction_id,
-               {_TEXT_TIME} AS "timestamp", 'STORE-' || (o_custkey % 20) AS store_id,
-               CAST(o_custkey AS VARCHAR) AS customer_id, o_totalprice AS total_amount,
-               o_orderpriority AS payment_method
-        FROM orders""",
+    "raw_batch_files": _WHOLE_RECEIPTS,
+    "raw_array_files": _WHOLE_RECEIPTS,
     "daily_features": f"""{_MARTS}, framed AS ({_features("daily")})
         SELECT sale_date, revenue, {_FEATURE_LIST} FROM framed WHERE {_COMPLETE}""",
     "series_features": f"{_PANEL} SELECT category, sale_date, revenue, {_FEATURE_LIST} FROM panel",
@@ -332,11 +332,21 @@ SQL: dict[str, str] = {
         FROM placed, coefficients WHERE n = size""",
     "linear_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}
         {_ROLLED_DAYS}""",
+    "trend_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}, predicted AS ({_ROLLED_DAYS})
+        SELECT sale_date, ROUND(SUM(revenue_forecast), 1) AS forecast FROM predicted GROUP BY 1 ORDER BY 1""",
     "stream_daily_sales": """
         SELECT CAST(ts AS DATE) AS sale_date, COUNT(DISTINCT event_id) AS transactions_count,
                CAST(SUM(CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)) AS BIGINT) AS items_sold,
                ROUND(SUM(value), 2) AS revenue, ROUND(SUM(value), 2) / COUNT(DISTINCT event_id) AS avg_check
         FROM events GROUP BY 1""",
+    "stream_receipts_daily": f"{_MARTS} SELECT * FROM daily",
+    # no receipt of the tables is long enough for a second document
+    "stream_raw": """
+        SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id,
+               COUNT(*) AS expected, COUNT(*) AS received, TRUE AS passed
+        FROM orders GROUP BY 1""",
+    "stream_rejected": """
+        SELECT 'broken ' || o_orderkey AS message, 'malformed' AS problem FROM orders WHERE o_orderkey % 50 = 0""",
     "stream_ingest_transactions": _HEADERS,
     "stream_ingest_items": _LINES,
 }

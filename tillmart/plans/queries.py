@@ -28,6 +28,13 @@ RANGE = ("1997-01-01", "1998-01-01")
 BATCH_DAY = "2024-01-15"
 
 
+def _kept(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder and read again; its size is then known to the planner."""
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 # Marts ----------------------------------------------------------------------
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     s = star_schema.silver(spark, folder)
@@ -49,7 +56,8 @@ def federated_region(spark: SparkSession, folder: str) -> DataFrame:
     customers = star_schema.customers(spark, folder).select(
         F.concat_ws("#", "first_name", "last_name").alias("name"), F.col("city").alias("country")
     )
-    return gold.with_region(customers, star_schema.country_region(spark, folder))
+    lookup = _kept(spark, star_schema.country_region(spark, folder), "lookup")
+    return gold.with_region(customers, lookup)
 
 
 # Reports --------------------------------------------------------------------
@@ -69,6 +77,11 @@ def trend_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return reports.trend_revenue(sales_daily(spark, folder))
 
 
+def trend_revenue_limited(spark: SparkSession, folder: str) -> DataFrame:
+    """As a chart shows it: the oldest days up to the chart's row limit."""
+    return reports.trend_revenue(sales_daily(spark, folder), limit=reports.TREND_ROW_LIMIT)
+
+
 def trend_revenue_range(spark: SparkSession, folder: str) -> DataFrame:
     return reports.trend_revenue(sales_daily(spark, folder), time_range=RANGE)
 
@@ -116,9 +129,9 @@ def _receipts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Receipt headers as messages with an empty item list: all are kept."""
-    headers = star_schema.headers(star_schema.transactions(spark, folder))
-    return silver.to_transactions(messages.strict(messages.decode(messages.encode(headers))))
+    """Whole receipts as messages: each gives its header, with or without lines."""
+    nested = messages.encode(_receipts(spark, folder))
+    return silver.to_transactions(messages.strict(messages.decode(nested)))
 
 
 def silver_items_flatten(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,18 +191,20 @@ def batch_completeness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-    events = star_schema.read(spark, folder, "events").drop("ts")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    # JSON's own time format has milliseconds
+    events = star_schema.read(spark, folder, "events").withColumn("ts", F.col("ts").cast("string"))
     parsed = messages.encode(events).select(F.from_json("value", schema).alias("e")).select("e.*")
     return parsed.select(
-        "event_id", "user_id", "event_type", "value", F.from_json("props", "k BIGINT")["k"].alias("k")
+        "event_id", "ts", "user_id", "event_type", "value", F.from_json("props", "k BIGINT")["k"].alias("k")
     )
 
 
 # Quality --------------------------------------------------------------------
 def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     s = star_schema.silver(spark, folder)
-    fact = gold.fact_sales(s.transactions, s.customers, s.items, s.products)
+    # The fact is joined once; the marts and the counts read what was written.
+    fact = _kept(spark, gold.fact_sales(s.transactions, s.customers, s.items, s.products), "fact")
     return {
         "silver_transactions": s.transactions,
         "silver_items": s.items,
@@ -224,9 +239,9 @@ def orphan_report(spark: SparkSession, folder: str) -> DataFrame:
 def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """The customers seen in receipts, completed from the customer snapshot."""
     transactions = star_schema.transactions(spark, folder)
-    existing = transactions.select("customer_id").distinct().withColumn("segment", F.lit("SEEN"))
+    existing = transactions.select("customer_id", F.lit("SEEN").alias("segment"))
     snapshot = star_schema.customers(spark, folder).select("customer_id", "segment")
-    return existing.unionByName(gold.insert_if_absent(existing, snapshot, ["customer_id"]))
+    return existing.distinct().unionByName(gold.insert_if_absent(existing, snapshot, ["customer_id"]))
 
 
 def _versioned_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -240,10 +255,6 @@ def _versioned_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def version_list(spark: SparkSession, folder: str) -> DataFrame:
-    return versions.list_versions(_versioned_orders(spark, folder))
-
-
 def as_of_read(spark: SparkSession, folder: str) -> DataFrame:
     return versions.as_of(_versioned_orders(spark, folder), AS_OF)
 
@@ -264,16 +275,36 @@ def table_refresh_append(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         tables.refresh(orders.where("o_orderstatus = 'F'"), table)
     tables.append(orders.where("o_orderstatus <> 'F'"), table)
-    return tables.scan(spark, table)
+    result = _kept(spark, tables.scan(spark, table), "lake-orders")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
 
 
 def raw_batch_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Receipt headers written below their batch, written again, and all read back."""
+    """Whole receipts written below their batch, written again, read back, and flattened with their headers."""
     path = scratch_path(spark, "raw")
-    headers = star_schema.headers(star_schema.transactions(spark, folder))
+    receipts = _kept(spark, _receipts(spark, folder), "receipts")
     for _ in range(2):
-        json_files.write_raw_batches(headers, path)
-    return json_files.read_snapshot(spark, path, schemas.POS_EVENT).drop("items")
+        json_files.write_raw_batches(receipts, path)
+    return _flat(json_files.read_snapshot(spark, path, schemas.POS_EVENT))
+
+
+def raw_array_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole receipts stored as JSON arrays, one array for each batch and customer group, and read back."""
+    path = scratch_path(spark, "raw-arrays")
+    receipts = _receipts(spark, folder).withColumn("shelf", F.pmod(F.xxhash64("transaction_id"), F.lit(64)))
+    arrays = receipts.groupBy("batch_id", "shelf").agg(
+        F.to_json(F.collect_list(F.struct(*schemas.POS_EVENT.fieldNames())), {"ignoreNullFields": "false"}).alias("value")
+    )
+    arrays.select("value").write.text(path)
+    # each line of these files is an array; the reader takes whole files, so the lines are parsed like its documents
+    documents = spark.read.text(path).select(F.explode(F.from_json("value", "array<string>", {"mode": "FAILFAST"})).alias("value"))
+    return _flat(messages.strict(messages.decode(documents)))
+
+
+def _flat(events: DataFrame) -> DataFrame:
+    lines = events.select(*[c for c in events.columns if c not in ("items", "part")], F.explode_outer("items").alias("item"))
+    return lines.select(*[c for c in lines.columns if c != "item"], "item.*")
 
 
 # Features and forecast ------------------------------------------------------
@@ -350,8 +381,9 @@ def linear_model_mae(spark: SparkSession, folder: str) -> DataFrame:
 
 def linear_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """The linear candidate alone, trained on all rows and rolled seven days ahead for each category."""
-    model = forecast.estimator(forecast.LINEAR).fit(_kept_panel(spark, folder))
-    states = features.last_values(_category_days(spark, folder), ["category"])
+    days = _kept(spark, _category_days(spark, folder), "category-days")
+    model = forecast.estimator(forecast.LINEAR).fit(forecast.training_panel(days, ["category"]))
+    states = features.last_values(days, ["category"])
     ahead = forecast.roll_forward(states.withColumn("model_name", F.lit(forecast.LINEAR)), model, ["category"], 7)
     return ahead.select("category", "sale_date", F.round("revenue_forecast", 1).alias("revenue_forecast"))
 
@@ -365,7 +397,9 @@ def revenue_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trend_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.trend_forecast(revenue_forecast(spark, folder))
+    """Over the linear candidate's forecasts of all categories."""
+    trend = reports.trend_forecast(linear_forecast(spark, folder))
+    return trend.withColumn("forecast", F.round("forecast", 1))
 
 
 # Streaming ------------------------------------------------------------------
@@ -388,9 +422,43 @@ def stream_daily_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _ingested(spark: SparkSession, events: DataFrame) -> ingest_stream.Targets:
+def stream_receipts_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested receipts of known customers, through the stream that keeps the daily sales."""
+    path = scratch_path(spark, "receipts-daily")
+    messages.encode(_receipts(spark, folder)).write.text(f"{path}/topic")
+    customers = star_schema.customers(spark, folder).select(F.col("customer_id").cast("string").alias("customer_id"))
+    events = messages.strict(messages.decode(spark.readStream.text(f"{path}/topic")))
+    measured = daily_stream.daily_sales(daily_stream.receipt_measures(events, customers))
+    query = daily_stream.maintain(measured, f"{path}/days", f"{path}/checkpoint")
+    query.awaitTermination()
+    daily_stream.require_none_late(query)
+    revenue = F.round("revenue", 2)
+    return daily_stream.read_daily(spark, f"{path}/days").withColumns(
+        {"revenue": revenue, "avg_check": revenue / F.col("transactions_count")}
+    )
+
+
+def stream_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """What the stream put into Raw, counted by batch against what the receipts announce."""
+    receipts = _kept(spark, _receipts(spark, folder), "receipts")
+    announced = receipts.groupBy("batch_id").agg(F.count("*").alias("expected"))
+    stored = ingest_stream.read_raw(spark, _ingested(spark, receipts))
+    return quality.check_batches(stored, announced).select("batch_id", "expected", "received", "passed")
+
+
+def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fiftieth receipt comes as a damaged message, which is kept apart as it came."""
+    receipts = _receipts(spark, folder).withColumn("key", F.col("transaction_id").cast("bigint"))
+    whole = messages.encode(receipts.where("key % 50 <> 0").drop("key"))
+    damaged = receipts.where("key % 50 = 0 and part = 0").select(F.concat(F.lit("broken "), "transaction_id").alias("value"))
+    targets = _ingested(spark, whole.unionByName(damaged), encoded=True)
+    kept = spark.read.parquet(targets.rejected)
+    return kept.select("message", F.element_at("problems", 1).alias("problem"))
+
+
+def _ingested(spark: SparkSession, events: DataFrame, encoded: bool = False) -> ingest_stream.Targets:
     path = scratch_path(spark, "ingest")
-    messages.encode(events).write.text(f"{path}/topic")
+    (events if encoded else messages.encode(events)).write.text(f"{path}/topic")
     targets = ingest_stream.Targets.below(path)
     topic = spark.readStream.text(f"{path}/topic")
     ingest_stream.ingest(topic, targets, f"{path}/checkpoint").awaitTermination()
@@ -398,8 +466,7 @@ def _ingested(spark: SparkSession, events: DataFrame) -> ingest_stream.Targets:
 
 
 def stream_ingest_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    headers = star_schema.headers(star_schema.transactions(spark, folder))
-    return ingest_stream.read_transactions(spark, _ingested(spark, headers))
+    return ingest_stream.read_transactions(spark, _ingested(spark, _receipts(spark, folder)))
 
 
 def stream_ingest_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -409,15 +476,16 @@ def stream_ingest_items(spark: SparkSession, folder: str) -> DataFrame:
 ALL: tuple[Query, ...] = (
     fact_sales, sales_daily, product_sales, federated_region,
     kpi_revenue, kpi_transactions, kpi_avg_check,
-    trend_revenue, trend_revenue_range, trend_revenue_monthly, trend_transactions, top10_products,
+    trend_revenue, trend_revenue_limited, trend_revenue_range, trend_revenue_monthly, trend_transactions, top10_products,
     silver_customers, silver_products, silver_transactions, silver_items_flatten,
     receipt_total_reconcile, timestamp_normalize,
     batch_id_sanitize, batch_filter, batch_completeness, event_json_roundtrip,
     gold_row_counts, gold_validation, orphan_report,
-    insert_if_absent, version_list, as_of_read, table_refresh_append, raw_batch_files,
+    insert_if_absent, as_of_read, table_refresh_append, raw_batch_files, raw_array_files,
     daily_features, series_features, next_day_features, history_gate, holdout_split,
     candidate_mae, best_candidate, linear_model_mae, linear_forecast, model_mae, revenue_forecast, trend_forecast,
     stream_daily_sales, stream_ingest_transactions, stream_ingest_items,
+    stream_receipts_daily, stream_raw, stream_rejected,
 )
 
 

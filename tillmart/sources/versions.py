@@ -1,66 +1,20 @@
 """Point-in-time reads over versioned rows.
 
-A commit adds its rows to a Parquet dataset, in a partition that carries the version. ``append`` adds to
-the table, ``replace`` starts it anew, so nothing is copied from one version to the next and a read as of
-some time prunes all other partitions. Snapshot ids grow with every commit.
+Rows carry the version that added them: its number, its time, and whether it appended to the table or replaced it. A
+dataset partitioned by these columns is pruned to the versions that a read needs.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 APPEND, REPLACE = "append", "replace"
 VERSION_COLUMNS = ("snapshot_id", "committed_at", "operation")
 
 
-def commit_version(
-    frame: DataFrame, path: str, snapshot_id: int, committed_at: datetime, operation: str = APPEND
-) -> None:
-    """Write one version. Repeating a commit replaces it."""
-    (
-        frame.withColumns(
-            {
-                "snapshot_id": F.lit(snapshot_id).cast("bigint"),
-                "committed_at": F.lit(f"{committed_at:%Y-%m-%d %H:%M:%S}"),
-                "operation": F.lit(operation),
-            }
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*VERSION_COLUMNS)
-        .parquet(path)
-    )
-
-
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All versioned rows, with (snapshot_id, committed_at, operation) beside the table's columns."""
-    return spark.read.parquet(path).withColumns(
-        {
-            "snapshot_id": F.col("snapshot_id").cast("bigint"),
-            "committed_at": F.col("committed_at").cast("timestamp_ntz"),
-        }
-    )
-
-
-def list_versions(versions: DataFrame) -> DataFrame:
-    """One row per version, with its parent, its kind, and the rows it added and holds.
-
-    Rows are counted per version first; the windows then see one row per commit.
-    """
-    commits = versions.groupBy(*VERSION_COLUMNS).agg(F.count("*").alias("added_rows"))
-    history = Window.orderBy("snapshot_id")
-    generation = F.sum(F.when(F.col("operation") == REPLACE, 1).otherwise(0)).over(history)
-    return (
-        commits.withColumn("parent_id", F.lag("snapshot_id").over(history))
-        .withColumn("generation", generation)
-        .withColumn("total_rows", F.sum("added_rows").over(Window.partitionBy("generation").orderBy("snapshot_id")))
-        .select("committed_at", "snapshot_id", "parent_id", "operation", "added_rows", "total_rows")
-    )
-
-
 def as_of(versions: DataFrame, moment: datetime) -> DataFrame:
     """The table as it was at ``moment``; raises when there was no version yet."""
     committed = versions.where(F.col("committed_at") <= _timestamp(moment))
