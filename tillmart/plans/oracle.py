@@ -299,6 +299,21 @@ SQL: dict[str, str] = {
         FROM orders""",
     "raw_batch_files": _WHOLE_RECEIPTS,
     "raw_array_files": _WHOLE_RECEIPTS,
+    "pipeline_reports": f"""{_MARTS}, exact AS (
+            SELECT CAST(ts AS DATE) AS sale_date, SUM(line_amount) AS revenue,
+                   COUNT(DISTINCT transaction_id) AS receipts FROM fact GROUP BY 1
+        ), names AS (
+            SELECT product_name, SUM(line_amount) AS revenue FROM fact GROUP BY 1
+            ORDER BY 2 DESC, 1 LIMIT 10
+        )
+        SELECT 'kpi_revenue' AS report, CAST(NULL AS VARCHAR) AS label, ROUND(SUM(revenue), 2) AS value FROM exact
+        UNION ALL SELECT 'kpi_transactions', NULL, CAST(SUM(receipts) AS DOUBLE) FROM exact
+        UNION ALL SELECT 'kpi_avg_check', NULL, ROUND(AVG(revenue / receipts), 4) FROM exact
+        UNION ALL SELECT 'trend_revenue', CAST(sale_date AS VARCHAR), ROUND(revenue, 2) FROM exact
+        UNION ALL SELECT 'trend_transactions', CAST(sale_date AS VARCHAR), CAST(receipts AS DOUBLE) FROM exact
+        UNION ALL SELECT 'trend_forecast', CAST(CAST(last + n AS DATE) AS VARCHAR), CAST(1 AS DOUBLE)
+        FROM (SELECT MAX(sale_date) AS last FROM exact), (SELECT unnest(range(1, 8))::INTEGER AS n)
+        UNION ALL SELECT 'top_products', product_name, ROUND(revenue, 2) FROM names""",
     "daily_features": f"""{_MARTS}, framed AS ({_features("daily")})
         SELECT sale_date, revenue, {_FEATURE_LIST} FROM framed WHERE {_COMPLETE}""",
     "series_features": f"{_PANEL} SELECT category, sale_date, revenue, {_FEATURE_LIST} FROM panel",
