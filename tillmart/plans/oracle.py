@@ -183,6 +183,42 @@ WITH v AS (
     FROM orders
 )"""
 
+
+
+def _stump(rows: str) -> str:
+    """CTEs ending in ``split`` (cut, low, mean): the best single split of the revenue by weekday over ``rows`` of ``placed``."""
+    return f"""{_PANEL}, train AS (SELECT dow, revenue FROM placed WHERE {rows}
+), sides AS (
+    SELECT cut, dow <= cut AS low, COUNT(*) AS c, SUM(revenue) AS s, SUM(revenue * revenue) AS q
+    FROM train, (SELECT unnest(range(0, 6)) AS cut) GROUP BY 1, 2
+), best AS (SELECT cut FROM sides GROUP BY cut ORDER BY SUM(q - s * s / c), cut LIMIT 1
+), split AS (SELECT cut, low, s / c AS mean FROM sides JOIN best USING (cut))"""
+
+
+_SELECTION = f"""
+        SELECT category, model_name, ROUND(error, 1) AS mae,
+               CAST(ROW_NUMBER() OVER (PARTITION BY category ORDER BY error, model_name) AS INTEGER) AS rank
+        FROM (
+            SELECT * FROM ({_least_squares("n < size")}
+                SELECT category, 'LinearRegression' AS model_name, AVG(ABS(revenue - ({_PREDICTED_ROW}))) AS error
+                FROM placed, coefficients WHERE n = size GROUP BY category)
+            UNION ALL
+            SELECT * FROM ({_stump("n < size")}
+                SELECT category, 'RandomForest' AS model_name, AVG(ABS(revenue - mean)) AS error
+                FROM placed JOIN split ON low = (dow <= cut) WHERE n = size GROUP BY category)
+        )"""
+
+_SELECTED_FORECAST = f"""
+        SELECT category, sale_date, revenue_forecast, model_name, TIMESTAMP '2000-07-01' AS generated_at
+        FROM (
+            SELECT *, 'LinearRegression' AS model_name FROM ({_least_squares("TRUE")}{_rolled(7)} {_ROLLED_DAYS})
+            UNION ALL
+            SELECT *, 'RandomForest' FROM ({_stump("TRUE")}, ahead AS (
+                    SELECT category, CAST(MAX(sale_date) + n AS DATE) AS sale_date
+                    FROM category_days, (SELECT unnest(range(1, 8))::INTEGER AS n) GROUP BY category, n)
+                SELECT category, sale_date, ROUND(mean, 1) FROM ahead JOIN split ON low = (isodow(sale_date) - 1 <= cut))
+        ) JOIN (SELECT category, model_name FROM ({_SELECTION}) WHERE rank = 1) USING (category, model_name)"""
+
 _WHOLE_RECEIPTS = f"""
         SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id,
                CAST(o_orderkey AS VARCHAR) AS transaction_id,
@@ -345,6 +381,8 @@ SQL: dict[str, str] = {
     "linear_model_mae": f"""{_least_squares("n < size")}
         SELECT category, ROUND(ABS(revenue - ({_PREDICTED_ROW})), 1) AS mae
         FROM placed, coefficients WHERE n = size""",
+    "selected_model": _SELECTION,
+    "selected_forecast": _SELECTED_FORECAST,
     "linear_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}
         {_ROLLED_DAYS}""",
     "trend_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}, predicted AS ({_ROLLED_DAYS})

@@ -425,6 +425,23 @@ def linear_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return ahead.select("category", "sale_date", F.round("revenue_forecast", 1).alias("revenue_forecast"))
 
 
+# One tree of one split on the weekday: its best split and means can be written down in SQL.
+STUMP = forecast.ForestSettings(trees=1, max_depth=1, columns=("dow",), bootstrap=False)
+
+
+def selected_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Both candidates, the forest being a single small tree, scored for each category and ranked."""
+    scores = forecast.score(_kept_panel(spark, folder), ["category"], STUMP)
+    return scores.withColumn("mae", F.round("mae", 1))
+
+
+def selected_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Select, refit, roll seven days ahead and stamp: each category by the candidate that won on it."""
+    days = _kept(spark, _category_days(spark, folder), "category-days")
+    found = forecast.forecast(days, ["category"], 7, STUMP, generated_at=AS_OF)
+    return found.withColumn("revenue_forecast", F.round("revenue_forecast", 1))
+
+
 def model_mae(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.score(_kept_panel(spark, folder), ["category"])
 
@@ -520,7 +537,8 @@ ALL: tuple[Query, ...] = (
     gold_row_counts, gold_validation, orphan_report,
     insert_if_absent, as_of_read, table_refresh_append, raw_batch_files, raw_array_files, pipeline_reports,
     daily_features, series_features, next_day_features, history_gate, holdout_split,
-    candidate_mae, best_candidate, linear_model_mae, linear_forecast, model_mae, revenue_forecast, trend_forecast,
+    candidate_mae, best_candidate, linear_model_mae, linear_forecast,
+    selected_model, selected_forecast, model_mae, revenue_forecast, trend_forecast,
     stream_daily_sales, stream_ingest_transactions, stream_ingest_items,
     stream_receipts_daily, stream_raw, stream_rejected,
 )
