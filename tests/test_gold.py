@@ -150,3 +150,19 @@ def test_orphans(spark):
         "transaction without items": 1,
         "item without transaction": 1,
     }
+
+
+def test_counts_join_the_fact_once(spark):
+    """The marts and the counts read the fact that was written; the plan left has no join."""
+    from tillmart.plans.queries import QUERIES
+
+    plan = QUERIES["gold_row_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 7 and "Join" not in plan
+
+
+def test_hot_keys_of_existing_rows_are_reduced(spark):
+    existing = spark.range(1000).selectExpr("id % 2 AS key", "'old' AS value")
+    new = spark.range(4).selectExpr("id AS key", "'new' AS value")
+    found = gold.insert_if_absent(existing, new, ["key"])
+    assert sorted(row.key for row in found.collect()) == [2, 3]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2

@@ -129,6 +129,8 @@ def test_kafka_and_jdbc_options():
         "startingOffsets": "earliest",
     }
     assert pos.sink_options("b:9092", "t")["kafka.acks"] == "all"
+    moment = dt.datetime(2026, 7, 4, tzinfo=dt.UTC)
+    assert pos._times(moment, None) == {"startingTimestamp": "1783123200000"}
     assert lookup.partition_options("id", 1, 100, 4)["numPartitions"] == "4"
 
 

@@ -183,7 +183,11 @@ def batch_id_sanitize(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.of_batch(_events_in_batches(spark, folder), BATCH_DAY)
+    """From events stored by batch, as Raw is: only the wanted batch is read."""
+    path, events = scratch_path(spark, "batches"), _events_in_batches(spark, folder)
+    events.write.partitionBy("batch_id").parquet(path)
+    stored = spark.read.schema(events.schema).parquet(path).select(*events.columns)
+    return silver.of_batch(stored, BATCH_DAY)
 
 
 def batch_completeness(spark: SparkSession, folder: str) -> DataFrame:
