@@ -18,6 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tillmart.llm.common import few_at_once
+
 # Words whose ids a Python worker remembers, twice at most, and the longest of them.
 REMEMBERED = 250_000
 LONGEST = 48
@@ -208,7 +210,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -228,4 +230,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, columns)
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, columns)

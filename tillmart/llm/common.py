@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.session import scratch_path
 
+# Rows that a Python task is handed at once. Spark counts rows and not bytes, and texts are long.
+ROWS_AT_ONCE = 500
+
+
+def few_at_once(docs: DataFrame) -> DataFrame:
+    """The same rows; the session hands its Python tasks at most ``ROWS_AT_ONCE`` rows at a time from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= ROWS_AT_ONCE:
+        conf.set(name, str(ROWS_AT_ONCE))
+    return docs
+
 
 def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """The frame, written once to the shared folder and read again: a lost executor costs no recomputation."""

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import few_at_once
+
 Q = 7
 EDIT_SHARE = 0.1  # edits allowed per character of a passage
 BLOCK_CHARACTERS = 2_000_000  # of passages sent to the tasks at once; a longer passage is a block of its own
@@ -221,7 +223,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, q:
     are not looked at. An empty table on either side gives no matches.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    carried, first = docs.select("doc_id", "text"), True
+    carried, first = few_at_once(docs).select("doc_id", "text"), True
     for shipped in _shipped(spark, benchmark, q, share):
         carried = carried.mapInArrow(_Pass(shipped, first), f"doc_id {kind}, text string, {SCHEMA}")
         first = False
@@ -234,7 +236,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, q:
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float = EDIT_SHARE) -> DataFrame:
     """``docs`` without the rows that hold a passage of ``benchmark``, as ``contaminated`` finds them; all columns stay as they are."""
     for shipped in _shipped(spark, benchmark, q, share):
-        docs = docs.where(~_holds(shipped)("text"))
+        docs = few_at_once(docs).where(~_holds(shipped)("text"))
     return docs
 
 

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import few_at_once
+
 UNKNOWN = "unknown"
 # Paragraphs of the corpus that stand for the unknown class in training: those with the smallest hash.
 SAMPLE = 4_000
@@ -223,4 +225,4 @@ def scanned(spark: SparkSession, docs: DataFrame, classifier: Classifier) -> Dat
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "families", "notices"])
 
     columns = f"doc_id {kind}, families array<string>, notices array<struct<line:int,family:string,probability:double,covered:double>>"
-    return docs.select("doc_id", "text").mapInArrow(run, columns)
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, columns)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import few_at_once
+
 BUCKETS = 1 << 14
 FACTORS = 8
 EPOCHS = 8
@@ -145,7 +147,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
                 ["doc_id", "quality", "at", "value"],
             )
 
-    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` short rows
+    texts = few_at_once(docs).where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` short rows
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = texts.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(
         run, f"doc_id {kind}, quality int, at array<int>, value array<float>"
@@ -173,10 +175,10 @@ def scored(spark: SparkSession, docs: DataFrame, machine: Machine) -> DataFrame:
     table gives an empty table.
     """
     score = scorer(spark, machine)
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
+    rows = few_at_once(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def good(spark: SparkSession, docs: DataFrame, machine: Machine) -> DataFrame:
     """``docs`` without the rows that the machine rejects; all columns stay as they are."""
-    return docs.where(scorer(spark, machine)("text") >= THRESHOLD)
+    return few_at_once(docs).where(scorer(spark, machine)("text") >= THRESHOLD)

@@ -37,10 +37,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
     return simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, scanned into a new ledger."""
     found = secret_scan.find(spark, _table(spark, sf_dir, "documents"))
     text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -53,28 +55,34 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for all documents."""
     docs = _table(spark, sf_dir, "documents")
     return quality.scored(spark, docs, quality.train(spark, docs, _table(spark, sf_dir, "labels")))
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for the URL of every page."""
     return url_filter.judged(spark, _table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for every twentieth one."""
     vectors = _table(spark, sf_dir, "embeddings")
     return permutation_index.nearest(spark, vectors, vectors.where("vec_id % 20 = 0"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that another one keeps."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = line_dedup.dedup_lines(spark, docs)
     kept = F.sha2("_kept", 256).alias("kept_sha256")
@@ -82,12 +90,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
     docs = _table(spark, sf_dir, "documents")
     found = licenses.scanned(spark, docs, licenses.train(spark, docs))
     return found.select("doc_id", "families", F.size("notices").cast("bigint").alias("n_notices"), "notices")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontamination.contaminated(spark, docs, benchmark)
     held = F.size("item_ids").cast("bigint")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import stored
+from tillmart.llm.common import few_at_once, stored
 from tillmart.llm.components import components
 
 MAX_BITS = 3
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
 def _signed(value: int) -> int:

@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tillmart.llm.bpe import byte_letters, merge
+from tillmart.llm.common import few_at_once
 
 # Words whose table a Python worker remembers, twice at most, and the longest of them.
 REMEMBERED = 250_000
@@ -229,7 +230,7 @@ def prefix_counts(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), tables], ["doc_id", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, counts array<int>")
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, counts array<int>")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
@@ -254,4 +255,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean, fits bigint"
-    return docs.select("doc_id", "text").mapInArrow(run, columns)
+    return few_at_once(docs).select("doc_id", "text").mapInArrow(run, columns)
