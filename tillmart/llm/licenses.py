@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import few_at_once
+from tillmart.llm.common import few_at_once, smallest_hashes
 
 UNKNOWN = "unknown"
 # Paragraphs of the corpus that stand for the unknown class in training: those with the smallest hash.
@@ -193,7 +193,8 @@ KEYS = ("licen", "permission", "redistribut", "free software")
 def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Fit with at most ``sample`` paragraphs of at most 400 characters from the corpus, chosen by the hash of their text."""
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).where("length(trim(line)) between 1 and 400")
-    others = lines.select(F.xxhash64("line").alias("hash"), "line").orderBy("hash", "line").limit(sample)
+    # at least as many lines as texts; a frequent line counts once
+    others = smallest_hashes(lines, ["line"], sample, docs.count(), distinct=True)
     return fit(sorted({row["line"] for row in others.toLocalIterator()}))
 
 
