@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import few_at_once
+from tillmart.llm.common import few_at_once, smallest_hashes
 
 BUCKETS = 1 << 14
 FACTORS = 8
@@ -132,7 +132,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = smallest_hashes(known, ["doc_id"], sample, known.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
