@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import smallest_hashes
+
 PIVOTS = 256
 ORDER = 64  # pivots kept for each vector
 SHARE = 0.3  # of a block's vectors that are reranked
@@ -102,7 +104,7 @@ def nearest(
 
     index, asked = clean(vectors), clean(queries)
     size = index.count()
-    drawn = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
+    drawn = smallest_hashes(index, ["vec_id"], sample, size).toPandas()
     columns = "query_id bigint, vec_id bigint, score double"
     if not size:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
