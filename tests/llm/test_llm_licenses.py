@@ -42,3 +42,42 @@ def test_corpus(spark):
     found = {r.doc_id: r.families for r in licenses.scanned(spark, docs, licenses.train(spark, docs)).collect()}
     wanted = {r.doc_id: sorted({f for line, f in known.items() if line in r.text.split("\n")}) for r in docs.collect()}
     assert found == wanted
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at"""
+
+
+@pytest.mark.parametrize("leader", ["", "# ", "// ", " * "])
+def test_wrapped_notices(spark, classifier, leader):
+    """Standard headers in lines of 80 columns, alone, in the midst of a long paragraph, and with lines that a comment leader leaves bare."""
+    headers = [(GPL, "GPL-3.0", 0, 3), (MIT, "MIT", 0, 1), (BSD, "BSD", 0, 2), (APACHE, "Apache-2.0", 0, 1)]
+    around = "\n".join(["an ordinary line about the sun and the sea"] * 40)
+    texts = [header for header, *_ in headers] + [f"{around}\n{header}\n{around}" for header, *_ in headers]
+    texts.append(f"{GPL}\n\n{MIT}")
+    texts = ["\n".join(leader + line for line in text.split("\n")) for text in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = [[(n.family, n.line, n.last_line) for n in r.notices] for r in licenses.scanned(spark, docs, classifier).collect()]
+    wanted = [[(family, first + n, last + n)] for n in (0, 40) for _, family, first, last in headers]
+    assert found == [*wanted, [("GPL-3.0", 0, 3), ("MIT", 5, 6)]]
+
+
+def test_paragraphs_apart(classifier):
+    assert classifier.scan("Permission is hereby granted, free of charge,\n\nto any person obtaining a copy of this software") == []
+
+
+def test_wrapped_notices_in_training():
+    """Lines of wrapped notices are no examples of the unknown class."""
+    trained = licenses.fit([*OTHERS, *[line for text in (GPL, MIT, BSD, APACHE) for line in text.split("\n")] * 40])
+    assert [trained.scan(text)[0].family for text in (GPL, MIT, BSD, APACHE)] == ["GPL-3.0", "MIT", "BSD", "Apache-2.0"]

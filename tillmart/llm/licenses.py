@@ -1,14 +1,18 @@
 """Licence notices in documents: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are the lines of a text. A paragraph is a sparse vector of word n-grams (1 to 3 words) that occur in the templates, and its share
-of words outside of them. Softmax regression over the licence families and an unknown class gives probabilities, which are
-calibrated on paragraphs kept from training. A family is reported only if the words of one of its templates are found in the
-paragraph nearly in full and the paragraph holds little else.
+Paragraphs are runs of lines that hold words, so that a line without any, be it empty or a bare comment leader, ends one; line breaks
+and leaders inside do not matter, as only words count. In a paragraph, stretches of words that cover a template nearly in full are
+searched. A stretch is a sparse vector of word n-grams (1 to 3 words) that occur in the templates, and its share of words outside
+of them. Softmax regression over the licence families and an unknown class gives probabilities, which are calibrated on examples
+kept from training. A family is reported if it is the likeliest one for a stretch that covers one of its templates.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +27,7 @@ UNKNOWN = "unknown"
 # Paragraphs of the corpus that stand for the unknown class in training: those with the smallest hash.
 SAMPLE = 4_000
 LEAST_PROBABILITY = 0.5
-LEAST_COVERED = 0.8  # of a template's words, in order, found in the paragraph
+LEAST_COVERED = 0.8  # of a template's words, in order, found in the stretch
 
 # Notices by family, as licences and their stewards word them.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -86,14 +90,87 @@ def _grams(parts: list[str]) -> Iterator[str]:
             yield " ".join(parts[n : n + size])
 
 
-def _covered(template: list[str], parts: list[str]) -> float:
-    """The longest common subsequence of words, as a share of the template."""
+def _reach(template: list[str], parts: list[str]) -> tuple[int, int]:
+    """Length of the longest common subsequence of words, and how many of ``parts`` it takes from the start."""
     row = [0] * (len(parts) + 1)
     for word in template:
         last = 0
         for n, other in enumerate(parts, 1):
             last, row[n] = row[n], last + 1 if word == other else max(row[n], row[n - 1])
-    return row[-1] / max(1, len(template))
+    return row[-1], row.index(row[-1])
+
+
+def _covered(template: list[str], parts: list[str]) -> float:
+    """The longest common subsequence of words, as a share of the template."""
+    return _reach(template, parts)[0] / max(1, len(template))
+
+
+class Template:
+    """A notice as words, and the search for stretches that cover it."""
+
+    def __init__(self, family: str, text: str) -> None:
+        self.family, self.words = family, words(text)
+        self.counts = Counter(self.words)
+        self.need = math.ceil(LEAST_COVERED * len(self.words) - 1e-9)  # words that a stretch has to cover
+        self.size = len(self.words) + len(self.words) // 2 + 1  # words of a stretch at most
+
+    def possible(self, used: set[str]) -> bool:
+        """Whether a paragraph of these words can cover enough."""
+        return sum(n for w, n in self.counts.items() if w in used) >= self.need
+
+    def stretches(self, parts: list[str]) -> list[tuple[int, int, float]]:
+        """(start, end, covered) of all stretches that cover the template, without the words around; of overlapping ones the best."""
+        at = [n for n, w in enumerate(parts) if w in self.counts]
+        have: Counter[str] = Counter()
+        common = after = 0
+        found = set()
+        for start in at:
+            while after < len(at) and at[after] < start + self.size:
+                word = parts[at[after]]
+                have[word] += 1
+                common += have[word] <= self.counts[word]
+                after += 1
+            if common >= self.need:  # else the order of words need not be looked at
+                part = parts[start : start + self.size]
+                length, end = _reach(self.words, part)
+                if length >= self.need:
+                    width = _reach(self.words[::-1], part[:end][::-1])[1]
+                    found.add((-length, width, start + end - width))
+            common -= have[parts[start]] <= self.counts[parts[start]]
+            have[parts[start]] -= 1
+        kept: list[tuple[int, int, float]] = []
+        for less, width, start in sorted(found):
+            n = bisect(kept, (start,))
+            if (n == 0 or kept[n - 1][1] <= start) and (n == len(kept) or start + width <= kept[n][0]):
+                insort(kept, (start, start + width, -less / len(self.words)))
+        return kept
+
+
+_SOUGHT = [Template(family, text) for family, texts in TEMPLATES.items() for text in texts]
+
+
+@dataclass(frozen=True)
+class Notice:
+    first: int  # lines
+    last: int
+    family: str
+    probability: float
+    covered: float
+
+
+def _paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """The words of each paragraph and the lines that they are on."""
+    parts: list[str] = []
+    lines: list[int] = []
+    for n, line in enumerate(text.split("\n")):
+        if more := words(line):
+            parts += more
+            lines += [n] * len(more)
+        elif parts:
+            yield parts, lines
+            parts, lines = [], []
+    if parts:
+        yield parts, lines
 
 
 @dataclass(frozen=True)
@@ -108,27 +185,44 @@ class Classifier:
         return _softmax(_vector(parts, self.gram)[None] @ self.weights / self.heat)[0]
 
     def judge(self, line: str) -> tuple[str, float, float] | None:
-        """Family, probability and covered share of a paragraph that is a licence notice."""
-        low = line.lower()
+        """Family, probability and covered share of the likeliest licence notice in a paragraph."""
+        parts = words(line)
+        best = max(self.notices(parts, [0] * len(parts)), key=lambda x: x.probability, default=None)
+        return best and (best.family, best.probability, best.covered)
+
+    def notices(self, parts: list[str], lines: list[int]) -> list[Notice]:
+        """The notices of a paragraph, in the order of their lines; those of a family that share a line are one."""
         # Without any of these words no template is covered far enough, so the comparison could not confirm.
+        used = set(parts)
+        if not any(k in " ".join(parts) for k in self.keys):
+            return []
+        found = []
+        for template in _SOUGHT:
+            if template.possible(used):
+                for start, end, covered in template.stretches(parts):
+                    if (chance := self._confirmed(template, parts[start:end])) is not None:
+                        found.append(Notice(lines[start], lines[end - 1], template.family, chance, covered))
+        joined: list[Notice] = []
+        for x in sorted(found, key=lambda x: (x.family, x.first, x.last)):
+            if joined and joined[-1].family == x.family and x.first <= joined[-1].last:
+                y = joined.pop()
+                best = max(x, y, key=lambda x: (x.covered, x.probability))
+                x = Notice(y.first, max(x.last, y.last), x.family, best.probability, best.covered)
+            joined.append(x)
+        return sorted(joined, key=lambda x: (x.first, x.last, x.family))
+
+    def scan(self, text: str | None) -> list[Notice]:
+        """The notices of a text."""
+        low = (text or "").lower()
         if not any(k in low for k in self.keys):
-            return None
-        parts = words(line)
+            return []
+        return [x for parts, lines in _paragraphs(text) for x in self.notices(parts, lines)]
+
+    def _confirmed(self, template: Template, parts: list[str]) -> float | None:
+        """The probability of the template's family if the stretch is most likely of it."""
         chances = self.probabilities(parts)
-        best = int(chances[:-1].argmax())
-        if chances[best] < LEAST_PROBABILITY or chances[best] < chances[-1]:
-            return None
-        covered = max(self._confirmed(t, parts) for t in TEMPLATES[self.families[best]])
-        return (self.families[best], float(chances[best]), covered) if covered >= LEAST_COVERED else None
-
-    def _confirmed(self, template: str, parts: list[str]) -> float:
-        """How far the best stretch of the paragraph covers a template; stretches have one and a half times its words."""
-        wanted = words(template)
-        size = len(wanted) + len(wanted) // 2 + 1
-        step = max(1, size - len(wanted))
-        starts = range(0, max(1, len(parts) - len(wanted) + 1), step)
-        heads = set(wanted)
-        return max((_covered(wanted, part) for s in starts if len(heads.intersection(part := parts[s : s + size])) >= 0.6 * len(heads)), default=0.0)
+        best = int(chances.argmax())
+        return float(chances[best]) if self.families[best] == template.family and chances[best] >= LEAST_PROBABILITY else None
 
 
 def _vector(parts: list[str], gram: dict[str, int]) -> np.ndarray:
@@ -150,7 +244,8 @@ def _softmax(margins: np.ndarray) -> np.ndarray:
 def fit(others: list[str], steps: int = 400) -> Classifier:
     """Fit on the templates in varied surroundings and on ``others``, paragraphs that hold no notice as far as is known.
 
-    Of ``others`` those that cover a template are left out. A fifth of all examples sets the calibration.
+    Of ``others`` those that cover a template or are a piece of one, as the lines of a wrapped notice are, are left out. A fifth of
+    all examples sets the calibration.
     """
     families = [*TEMPLATES, UNKNOWN]
     gram = {g: n for n, g in enumerate(sorted({g for ts in TEMPLATES.values() for t in ts for g in _grams(words(t))}))}
@@ -165,7 +260,8 @@ def fit(others: list[str], steps: int = 400) -> Classifier:
         used = set(parts)
         # a template can't be covered if too few of its words are there at all
         near = [t for t in templates if sum(w in used for w in t) >= LEAST_COVERED * len(t)]
-        if not any(_covered(t, parts) >= LEAST_COVERED for t in near):
+        whole = [t for t in templates if len(parts) > 3 and sum(w in t for w in used) >= LEAST_COVERED * len(used)]
+        if not any(_covered(t, parts) >= LEAST_COVERED for t in near) and not any(_covered(parts, t) >= LEAST_COVERED for t in whole):
             examples.append((parts, unknown))
     # texts that speak of licences without naming a known one
     for text in ("All rights reserved.", "This file has a license.", "See the license for more.", "Licensed under our own terms.", "the public general version of this work", ""):
@@ -201,29 +297,27 @@ def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Classif
 def scanned(spark: SparkSession, docs: DataFrame, classifier: Classifier) -> DataFrame:
     """(doc_id, families, notices) per row of ``docs`` (doc_id, text).
 
-    families: the licences found, ascending and each once. notices: for each notice its line (from 0), family, probability and covered
-    share of the template, in the order of the lines. A null or empty text has none. Repeated rows and null doc_ids are carried
+    families: the licences found, ascending and each once. notices: for each notice its first and last line (from 0), family,
+    probability and covered share of the template, in the order of the lines. A null or empty text has none. Repeated rows and null doc_ids are carried
     along; other columns are not looked at. An empty table gives an empty table.
     """
     shipped = spark.sparkContext.broadcast(classifier)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    notice = pa.struct([("line", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("covered", pa.float64())])
+    notice = pa.struct([("line", pa.int32()), ("last_line", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("covered", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
         for batch in batches:
             families, notices = [], []
             for text in batch.column(1).to_pylist():
-                found = []
-                low = (text or "").lower()
-                if any(k in low for k in model.keys):
-                    for n, line in enumerate(text.split("\n")):
-                        if said := model.judge(line):
-                            found.append({"line": n, "family": said[0], "probability": said[1], "covered": said[2]})
+                found = [
+                    {"line": x.first, "last_line": x.last, "family": x.family, "probability": x.probability, "covered": x.covered}
+                    for x in model.scan(text)
+                ]
                 notices.append(found)
                 families.append(sorted({x["family"] for x in found}))
             columns = [batch.column(0), pa.array(families, pa.list_(pa.string())), pa.array(notices, pa.list_(notice))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "families", "notices"])
 
-    columns = f"doc_id {kind}, families array<string>, notices array<struct<line:int,family:string,probability:double,covered:double>>"
+    columns = f"doc_id {kind}, families array<string>, notices array<struct<line:int,last_line:int,family:string,probability:double,covered:double>>"
     return few_at_once(docs).select("doc_id", "text").mapInArrow(run, columns)
