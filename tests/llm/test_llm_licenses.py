@@ -81,3 +81,36 @@ def test_wrapped_notices_in_training():
     """Lines of wrapped notices are no examples of the unknown class."""
     trained = licenses.fit([*OTHERS, *[line for text in (GPL, MIT, BSD, APACHE) for line in text.split("\n")] * 40])
     assert [trained.scan(text)[0].family for text in (GPL, MIT, BSD, APACHE)] == ["GPL-3.0", "MIT", "BSD", "Apache-2.0"]
+
+
+def test_two_licences(classifier):
+    """All families of a line, whether they have notices of their own or share one."""
+    both = [
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0.",
+        "Licensed under the MIT license or the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0, or released under the MIT License, at your option.",
+        "Dual licensed under the MIT or Apache License, Version 2.0",
+        "SPDX-License-Identifier: MIT OR Apache-2.0",
+        "SPDX-License-Identifier: Apache-2.0 OR MIT",
+    ]
+    for line in both:
+        assert sorted({x.family for x in classifier.scan(line)}) == ["Apache-2.0", "MIT"], line
+    found = classifier.scan("Licensed under CC BY 4.0. The images are licensed under CC BY-SA 4.0.")
+    assert sorted(x.family for x in found) == ["CC-BY-4.0", "CC-BY-SA-4.0"]
+
+
+def test_names(classifier):
+    """A template that names its family is not covered by words that don't, and a longer name is not a shorter one."""
+    for line in ("Released under the BSD License.", "the film was released under the new license of the label", "Use of this source code is governed by an MIT-style license."):
+        assert classifier.scan(line) == [], line
+    for family in ("LGPL-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "MPL-2.0"):
+        for template in licenses.TEMPLATES[family]:
+            assert {x.family for x in classifier.scan(template)} == {family}, template
+
+
+def test_long_line(classifier):
+    """Every template is found in a line of 40,000 foreign words."""
+    for family, templates in licenses.TEMPLATES.items():
+        for template in templates:
+            found = classifier.scan(f"{'sun moon ' * 10_000}{template}{' sea sky' * 10_000}")
+            assert [x.family for x in found] == [family], template

@@ -4,7 +4,8 @@ Paragraphs are runs of lines that hold words, so that a line without any, be it
 and leaders inside do not matter, as only words count. In a paragraph, stretches of words that cover a template nearly in full are
 searched. A stretch is a sparse vector of word n-grams (1 to 3 words) that occur in the templates, and its share of words outside
 of them. Softmax regression over the licence families and an unknown class gives probabilities, which are calibrated on examples
-kept from training. A family is reported if it is the likeliest one for a stretch that covers one of its templates.
+kept from training. Every family is reported that is the likeliest one for a stretch that covers one of its templates; a stretch that
+names several families is looked at without the names of the others.
 """
 
 from __future__ import annotations
@@ -74,6 +75,17 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
 }
+# Words that name one family and no other. GPL-3.0 and CC-BY-4.0 are named by words that longer names hold too.
+NAMES = {
+    "Apache-2.0": {"apache"},
+    "MIT": {"mit"},
+    "GPL-3.0": {"gpl"},
+    "LGPL-3.0": {"lesser", "lgpl"},
+    "BSD": {"bsd"},
+    "MPL-2.0": {"mozilla", "mpl"},
+    "CC-BY-SA-4.0": {"sa", "sharealike"},
+    "CC-BY-NC-4.0": {"nc", "noncommercial"},
+}
 _LEADS = ("", "This file is ", "The text is ", "All content here is ", "Note: ", "Copyright (c) The Authors. ", "# ", "// ")
 _TAILS = ("", " All rights reserved.", " See LICENSE for details.", " Thanks to all contributors.", " (c) 2021")
 
@@ -111,6 +123,8 @@ class Template:
     def __init__(self, family: str, text: str) -> None:
         self.family, self.words = family, words(text)
         self.counts = Counter(self.words)
+        self.names = NAMES.get(family, set()) & set(self.words)  # a stretch has one of these, if there are any
+        self.others = set().union(*NAMES.values()) - self.names - set(self.words)
         self.need = math.ceil(LEAST_COVERED * len(self.words) - 1e-9)  # words that a stretch has to cover
         self.size = len(self.words) + len(self.words) // 2 + 1  # words of a stretch at most
 
@@ -220,6 +234,10 @@ class Classifier:
 
     def _confirmed(self, template: Template, parts: list[str]) -> float | None:
         """The probability of the template's family if the stretch is most likely of it."""
+        if template.names:
+            if template.names.isdisjoint(parts):
+                return None
+            parts = [w for w in parts if w not in template.others]
         chances = self.probabilities(parts)
         best = int(chances.argmax())
         return float(chances[best]) if self.families[best] == template.family and chances[best] >= LEAST_PROBABILITY else None
