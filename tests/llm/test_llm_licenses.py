@@ -114,3 +114,12 @@ def test_long_line(classifier):
         for template in templates:
             found = classifier.scan(f"{'sun moon ' * 10_000}{template}{' sea sky' * 10_000}")
             assert [x.family for x in found] == [family], template
+
+
+def test_keys(spark, classifier):
+    """No stretch that covers a template lacks all keys, and short notices without the word licence are found in documents."""
+    for template in licenses._SOUGHT:
+        assert sum(w not in classifier.keys for w in template.words) < template.need, template.words
+    lines = {"This text is available under CC BY 4.0.": "CC-BY-4.0", "Available under CC BY-SA 4.0": "CC-BY-SA-4.0", "Shared under CC BY-NC 4.0": "CC-BY-NC-4.0", "Released under the MIT": "MIT"}
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id int, text string")
+    assert [r.families for r in licenses.scanned(spark, docs, classifier).collect()] == [[family] for family in lines.values()]

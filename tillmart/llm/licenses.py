@@ -160,6 +160,22 @@ class Template:
         return kept
 
 
+# Words that texts hold whatever they are about.
+_FREQUENT = frozenset("a and any are as by code following for form forms in is it may not of or that the this to under use used with without work you".split())
+
+
+def keys(template: Template) -> set[str]:
+    """Words of which each stretch that covers the template has one: without all of them too few of its words are left."""
+    chosen: set[str] = set()
+    left = len(template.words)
+    for word in sorted(template.counts, key=lambda w: (w in _FREQUENT, -len(w), w)):
+        if left < template.need:
+            break
+        chosen.add(word)
+        left -= template.counts[word]
+    return chosen
+
+
 _SOUGHT = [Template(family, text) for family, texts in TEMPLATES.items() for text in texts]
 
 
@@ -193,7 +209,7 @@ class Classifier:
     gram: dict[str, int]
     weights: np.ndarray  # (grams + 2, families): then the share of other words, then the bias
     heat: float
-    keys: frozenset[str]  # words of the templates that hint at a licence
+    keys: frozenset[str]  # a paragraph without any of these words covers no template
 
     def probabilities(self, parts: list[str]) -> np.ndarray:
         return _softmax(_vector(parts, self.gram)[None] @ self.weights / self.heat)[0]
@@ -206,9 +222,8 @@ class Classifier:
 
     def notices(self, parts: list[str], lines: list[int]) -> list[Notice]:
         """The notices of a paragraph, in the order of their lines; those of a family that share a line are one."""
-        # Without any of these words no template is covered far enough, so the comparison could not confirm.
         used = set(parts)
-        if not any(k in " ".join(parts) for k in self.keys):
+        if self.keys.isdisjoint(used):
             return []
         found = []
         for template in _SOUGHT:
@@ -227,10 +242,7 @@ class Classifier:
 
     def scan(self, text: str | None) -> list[Notice]:
         """The notices of a text."""
-        low = (text or "").lower()
-        if not any(k in low for k in self.keys):
-            return []
-        return [x for parts, lines in _paragraphs(text) for x in self.notices(parts, lines)]
+        return [x for parts, lines in _paragraphs(text or "") for x in self.notices(parts, lines)]
 
     def _confirmed(self, template: Template, parts: list[str]) -> float | None:
         """The probability of the template's family if the stretch is most likely of it."""
@@ -297,11 +309,7 @@ def fit(others: list[str], steps: int = 400) -> Classifier:
     heats = np.geomspace(0.25, 4.0, 25)
     x, y, s = features[held], wanted[held], share[held]
     losses = [-(s * np.log((_softmax(x @ weights / h) * y).sum(axis=1) + 1e-12)).sum() for h in heats]
-    return Classifier(families, gram, weights, float(heats[int(np.argmin(losses))]), frozenset(KEYS))
-
-
-# Every template has one of these, in any writing.
-KEYS = ("licen", "permission", "redistribut", "free software")
+    return Classifier(families, gram, weights, float(heats[int(np.argmin(losses))]), frozenset().union(*map(keys, _SOUGHT)))
 
 
 def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Classifier:
