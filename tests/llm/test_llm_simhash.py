@@ -125,3 +125,22 @@ def test_keep_one(spark, docs):
     wanted = {c for _, _, _, c in expected(sample())}
     assert sorted(i for i in ids if i is not None) == sorted(c for c in wanted if c is not None)
     assert ids.count(None) == 2
+
+
+def test_keep_one_of_repeated_doc_ids(spark):
+    """A doc_id with two texts stays with the one of its own component, in each component of which it is the smallest."""
+    draw = random.Random(5)
+    one, two, three = (" ".join(draw.choice("abcdefgh") * 3 + str(draw.randrange(99)) for _ in range(80)) for _ in range(3))
+    many = [(9, three)] * 50
+    rows = [(1, one), (3, one), (3, two), (4, two), (7, two), (7, three), (7, three), *many, (None, one), (None, one), (None, None)]
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(*r, "kept out", None) for r in part], SCHEMA).repartition(3)
+        kept = simhash.keep_one(spark, docs)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(0, one), (0, one), (0, ""), (1, one), (3, two), (7, three)])
+    docs = spark.createDataFrame([(*r, "kept out", None) for r in [(1, one), (1, two), (5, one), (7, two)]], SCHEMA)
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(spark, docs).collect()) == sorted([(1, one), (1, two)])
+
+
+def test_rows_without_doc_id_meet_in_no_task(spark, docs):
+    assert "Window" not in simhash.keep_one(spark, docs)._jdf.queryExecution().toString()

@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import few_at_once, stored
@@ -142,31 +143,51 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 3) -> D
     like any other. A repeated row gives a repeated row. A null doc_id is no candidate for component_id: where a component has no
     other, component_id is null. An empty table gives an empty table.
     """
+    prints, of_print = _grouped(spark, docs, shingle)
+    found = prints.join(of_print, "fp")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(spark: SparkSession, docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) per row of ``docs``, and (fp, root, component_id) per fingerprint; root names the component."""
     prints = stored(spark, fingerprints(docs, shingle), "fingerprints")
     distinct = stored(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     links = linked(spark, distinct.select("fp"))
     roots = stored(spark, components(spark, links).select(F.col("node").alias("fp"), "root"), "roots")
     grouped = roots.join(distinct, "fp")
     smallest = grouped.groupBy("root").agg(F.min("least").alias("smallest"))
-    of_root = stored(spark, grouped.select("fp", "root").join(smallest, "root").select("fp", "smallest"), "components")
-    of_print = distinct.join(of_root, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
-    of_print = stored(spark, of_print, "component-of-fingerprint")
-    found = prints.join(of_print, "fp")
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of_root = stored(spark, grouped.select("fp", "root").join(smallest, "root").select("fp", "root", "smallest"), "components")
+    of_print = distinct.join(of_root, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("smallest", "least").alias("component_id")
+    )
+    return prints, stored(spark, of_print, "component-of-fingerprint")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``docs`` with one document of each component: the one whose doc_id is the smallest.
 
-    All columns stay as they are. Of rows with one doc_id one stays. Rows without a doc_id stay: nothing says which are the same.
+    All columns stay as they are. Where that doc_id has several rows in the component, the one with the smallest fingerprint, and of those
+    the smallest text, stays; a doc_id with rows in several components can stay in each. Rows without a doc_id stay: nothing says
+    which are the same.
     """
-    found = near_duplicates(spark, docs, shingle)
-    stays = F.bool_or(F.col("doc_id") == F.col("component_id"))
-    others = stored(spark, found.groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id"), "others")
-    rest = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    number = "_row_of_doc_id"
-    while number in docs.columns:
-        number += "_"
-    order = Window.partitionBy("doc_id").orderBy("doc_id")
-    rest = rest.withColumn(number, F.row_number().over(order))
-    return rest.where((F.col(number) == 1) | F.col("doc_id").isNull()).drop(number)
+    prints, of_print = _grouped(spark, docs, shingle)
+    first = prints.join(of_print, "fp").where("doc_id = component_id")
+    kept = stored(spark, first.groupBy("root", "doc_id").agg(F.min("fp").alias("fp")).select("doc_id", "fp"), "kept")
+    repeated = prints.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = stored(spark, repeated, "repeated")
+    rest = docs.join(kept.join(repeated, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns)
+    rest = rest.unionByName(docs.where("doc_id is null"))
+    if repeated.isEmpty():
+        return rest
+
+    @F.pandas_udf("bigint")
+    def print_of(text: pd.Series) -> pd.Series:
+        prints = (fingerprint(t if isinstance(t, str) else None, shingle) for t in text)
+        return pd.Series(np.fromiter(prints, np.uint64, len(text)).view(np.int64))
+
+    # only for these rows a fingerprint is made again, and the tasks drop most of one doc_id before it meets in one
+    several = few_at_once(docs).join(kept.join(repeated, "doc_id", "left_semi"), "doc_id", "left_semi")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    rows = several.select("doc_id", print_of("text").alias("fp"), whole).join(kept, ["doc_id", "fp"], "left_semi")
+    one = rows.groupBy("doc_id", "fp").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return rest.unionByName(one.select("row.*"))
