@@ -1,6 +1,7 @@
 """Neighbours against brute force."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillmart.llm import permutation_index
 
@@ -52,3 +53,21 @@ def test_small_and_empty_tables(spark):
     empty = frame.limit(0)
     assert permutation_index.nearest(spark, empty, empty).collect() == []
     assert permutation_index.nearest(spark, frame, empty).collect() == []
+
+
+def test_repeated_ids(spark):
+    """Copies of one vec_id neither fill the sample nor hold it empty, and of different vectors the smallest counts."""
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(1500, 16)).astype(np.float32)
+    low = spark.range(1500).orderBy(F.xxhash64("id")).first()[0]  # the id that a sample has first
+    rows = [(n, v.tolist()) for n, v in enumerate(vectors)] + [(low, vectors[low].tolist())] * 6000
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    wanted = brute(np.arange(1500), vectors.astype(np.float64))
+    got = {}
+    for row in permutation_index.nearest(spark, frame, frame.where("vec_id % 20 = 0"), sample=1000).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    assert got.keys() == wanted.keys() and np.mean([len(got[q] & set(wanted[q])) / 20 for q in wanted]) >= 0.75
+
+    few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (1, [1.0, 5.0])] * 4000, "vec_id bigint, embedding array<double>")
+    found = permutation_index.nearest(spark, few, few.where("vec_id = 0"), sample=50).collect()
+    assert [(r.vec_id, r.score) for r in found] == [(1, 11.0)]

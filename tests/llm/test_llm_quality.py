@@ -55,3 +55,12 @@ def test_fold_and_repeatability(spark):
     assert np.array_equal(one.linear, two.linear) and np.array_equal(one.factors, two.factors)
     for row in quality.scored(spark, docs, one).collect():
         assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0)
+
+
+def test_repeated_doc_ids_in_training(spark):
+    """Of a doc_id with several texts the smallest counts, whatever the order of rows."""
+    rows = [(n, f"{'good' if n % 2 else 'bad'} words number {n}") for n in range(40)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id int, quality int")
+    again = [(n, text.replace("words", "zzz")) for n, text in rows]
+    once, one, two = (quality.train(spark, spark.createDataFrame(part, "doc_id int, text string").coalesce(1), labels) for part in (rows, rows + again, again + rows))
+    assert once.bias == one.bias == two.bias and (once.linear == one.linear).all() and (once.linear == two.linear).all()

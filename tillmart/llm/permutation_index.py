@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import smallest_hashes
+from tillmart.llm.common import smallest_hashes, stored
 
 PIVOTS = 256
 ORDER = 64  # pivots kept for each vector
@@ -95,14 +95,17 @@ def nearest(
     Nearness is the inner product in double precision; equal ones go to the smaller vec_id; a row with the query's own vec_id is
     no candidate. Rows whose vec_id is null, or whose vector is null, empty, zero or has components that are null or not finite, take no
     part; nor do vectors of another length than the most frequent one of the sample that the pivots are drawn from. Of repeated
-    vec_ids one takes part. Other columns are not looked at. An empty table on either side gives an empty result.
+    vec_ids the smallest vector takes part, compared component by component. Other columns are not looked at. An empty table on either side gives an empty result.
     """
     def clean(frame: DataFrame) -> DataFrame:
         rows = frame.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         vector = F.col("embedding").cast("array<double>")
-        return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("embedding"))
+        rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("embedding"))
+        # one row for each length, as only one length takes part
+        once = rows.groupBy("vec_id", F.size("embedding")).agg(F.min("embedding").alias("embedding"))
+        return once.select("vec_id", "embedding")
 
-    index, asked = clean(vectors), clean(queries)
+    index, asked = stored(spark, clean(vectors), "vectors"), stored(spark, clean(queries), "queries")
     size = index.count()
     drawn = smallest_hashes(index, ["vec_id"], sample, size).toPandas()
     columns = "query_id bigint, vec_id bigint, score double"
@@ -126,8 +129,7 @@ def nearest(
     def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(block) and len(asked):
-            block = block.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
-            asked = asked.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
+            block, asked = block.sort_values("vec_id", kind="stable"), asked.sort_values("vec_id", kind="stable")
             known = BlockIndex(block["vec_id"].to_numpy(), np.array(block["embedding"].tolist(), np.float64), shipped.value)
             vectors = np.array(asked["embedding"].tolist(), np.float64)
             orders = shipped.value.orders(vectors)

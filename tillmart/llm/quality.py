@@ -128,7 +128,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
 
     Which ones does not depend on their order or partitions: those with the smallest hash of doc_id. Their features are made by the
     tasks; only these bounded vectors reach the driver. Rows with a null doc_id, quality or text do not count. Of
-    repeated doc_ids one row each counts.
+    repeated doc_ids the smallest text each counts.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -148,11 +148,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
             )
 
     texts = few_at_once(docs).where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` short rows
+    texts = texts.groupBy("doc_id", F.col("quality").cast("int").alias("quality")).agg(F.min("text").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(
+    rows = texts.mapInArrow(
         run, f"doc_id {kind}, quality int, at array<int>, value array<float>"
     )
-    table = rows.toArrow().to_pandas().sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    table = rows.toArrow().to_pandas().sort_values("doc_id", kind="stable")
     return fit([(a.astype(np.int64), v.astype(np.float64), int(q)) for q, a, v in zip(table["quality"], table["at"], table["value"])])
 
 
