@@ -1,0 +1,127 @@
+"""Fingerprints by quartiles of byte triplets, against a plain count of every triplet."""
+
+import functools
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmart.llm import quartile_digest as q
+from tillmart.llm.queries import op11_fingerprints
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@functools.cache
+def plain_digest(text):
+    data, counts = text.encode(), Counter()
+    for kind, places in enumerate(q.TRIPLETS):
+        for begin in range(len(data) - places[-1]):
+            x = [data[begin + p] for p in places]
+            value = (x[0] + 256 * x[1] + 65536 * x[2] + (kind << 24)) * q.MULTIPLIER % 2**32
+            counts[value * q.BUCKETS // 2**32] += 1
+    every = [counts[n] for n in range(q.BUCKETS)]
+    limits = [sorted(every)[q.BUCKETS * n // 4 - 1] for n in (1, 2, 3)]
+    quarters = [sum(c > limit for limit in limits) for c in every]
+    packed = bytes(sum(quarters[n + k] << 2 * k for k in range(4)) for n in range(0, q.BUCKETS, 4))
+    return int(q.STEPS * math.log2(1 + len(data))).to_bytes(2, "big") + packed, quarters
+
+
+def plain_likeness(one, two):
+    cost = {0: 0, 1: 1, 2: 2, 3: 6}
+    (a, x), (b, y) = plain_digest(one), plain_digest(two)
+    if a == b:
+        return 1.0
+    steps = q.STEP_COST * min(q.MOST_STEPS, abs(int.from_bytes(a[:2], "big") - int.from_bytes(b[:2], "big")))
+    bound = min(q.BOUND, steps + sum(cost[n] for n in x) + sum(cost[n] for n in y))
+    return 1 - min(steps + sum(cost[abs(m - n)] for m, n in zip(x, y)), bound) / bound
+
+
+def expected(rows):
+    rows = [(d, t or "") for d, t in rows]
+    found = {}
+    for n, (doc, text) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][1]
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        found[doc] = (
+            len(text), hashlib.sha256(changed.encode()).hexdigest(), plain_digest(text)[0].hex(), plain_digest(changed)[0].hex(),
+            pytest.approx(plain_likeness(text, changed)), pytest.approx(plain_likeness(text, after)),
+        )
+    return found
+
+
+def test_the_query_equals_a_plain_count(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").collect()]
+    found = op11_fingerprints(spark, FOLDER)
+    names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert found.columns == ["doc_id", *names]
+    got = {r.doc_id: tuple(r[n] for n in names) for r in found.collect()}
+    assert len(got) == len(rows) and got == expected(rows)
+    nearer = [g[4] > g[5] for g in got.values() if g[0] > 200]
+    assert sum(nearer) / len(nearer) > 0.95
+
+
+@pytest.mark.parametrize("texts", [
+    ["only one"], ["", ""], [None, "a", "ab", "abc", "abcd", "abcde", "ñandú " * 3], ["x" * 3_000_000, "y", "zażółć 😀😀😀"],
+])
+def test_small_tables(spark, texts):
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame([(d, "clash", t) for d, t in rows], "doc_id int, part string, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in q.neighbours(spark, frame).collect()}
+    if max(len(t or "") for t in texts) < 10_000:
+        assert got == expected(rows)
+    else:
+        long = texts[0]
+        assert got[0][2] == q.digest(long).hex() and got[0][1] == hashlib.sha256((long[:1_500_000] + "y").encode()).hexdigest()
+        assert got[2][5] == q.likeness(q.digest(texts[2]), q.digest(long))
+
+
+def test_parts_of_a_long_text_add_up():
+    data = bytes(n * n % 251 for n in range(2**21 + 77))
+    whole = Counter()
+    for kind, places in enumerate(q.TRIPLETS):
+        for begin in (0, 2**20 - 3, 2**20 - 1, 2**20, len(data) - 5):
+            x = [data[begin + p] if begin + p < len(data) else None for p in places]
+            if None not in x:
+                whole[begin, kind] = (x[0] + 256 * x[1] + 65536 * x[2] + (kind << 24)) * q.MULTIPLIER % 2**32 * q.BUCKETS // 2**32
+    counts = q.triplet_counts(data)
+    assert counts.sum() == sum(len(data) - p[-1] for p in q.TRIPLETS)
+    assert all(counts[bucket] for bucket in whole.values())
+
+
+def test_empty_repeated_and_unnamed_rows(spark):
+    schema = "doc_id bigint, text string, kind int"
+    assert q.neighbours(spark, spark.createDataFrame([], schema)).count() == 0
+    rows = [(None, "first", 0), (7, "same", 0), (7, "same", 0), (7, None, 1), (9, "last one", 0)]
+    found = q.neighbours(spark, spark.createDataFrame(rows, schema)).collect()
+    assert sorted(((r.doc_id is not None, r.doc_id or 0), r.n_chars) for r in found) == [
+        ((False, 0), 5), ((True, 7), 0), ((True, 7), 4), ((True, 7), 4), ((True, 9), 8)]
+    same = {r.fingerprint for r in found if r.n_chars == 4}
+    assert len(same) == 1
+    (last,) = [r for r in found if r.doc_id == 9]
+    assert last.edited_sha256 == hashlib.sha256(b"lastfirs").hexdigest()
+
+
+def test_many_ranges_are_closed(spark):
+    rows = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.doc_id: r.edited_sha256 for r in q.neighbours(spark, rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    texts = [f"text number {n}" for n in range(500)]
+    assert got == {
+        n: hashlib.sha256(q.edited(texts[n], texts[(n + 1) % 500]).encode()).hexdigest() for n in range(500)
+    }
+
+
+def test_equal_is_one_and_strange_is_none():
+    one, two = q.digest("the same words here"), q.digest("the same words here")
+    assert one == two and q.likeness(one, two) == 1.0
+    assert q.likeness(q.digest(""), q.digest("words of a text " * 400)) == 0.0
+    assert q.likeness(q.digest("a short line"), q.digest("other matters")) < 0.1

@@ -13,6 +13,7 @@ from tillmart.llm import (
     line_dedup,
     permutation_index,
     quality,
+    quartile_digest,
     secret_scan,
     simhash,
     token_counts,
@@ -104,6 +105,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (held > 0).alias("contaminated"), held.alias("n_items"), "item_ids", "edits")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, beside those of their edited texts and of the next documents."""
+    return quartile_digest.neighbours(spark, _table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -115,4 +121,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op11_fingerprints": op11_fingerprints,
 }
