@@ -16,12 +16,14 @@ from tillmart.llm import (
     quartile_digest,
     secret_scan,
     simhash,
+    token_alignment,
     token_counts,
     url_filter,
 )
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 # The rules for URLs.
 URL_RULES = (
@@ -110,6 +112,12 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.neighbours(spark, _table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of two tokenizers over all documents, aligned."""
+    paths = public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY)
+    return token_alignment.aligned(spark, _table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -122,4 +130,5 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
     "op11_fingerprints": op11_fingerprints,
+    "op13_alignment": op13_alignment,
 }
