@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,18 @@ def few_at_once(docs: DataFrame) -> DataFrame:
     return docs
 
 
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand their Python tasks at most so many rows at a time; the session's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """The frame, written once to the shared folder and read again: a lost executor costs no recomputation."""
     path = scratch_path(spark, name)

@@ -75,4 +75,28 @@ best AS (
     GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)"""
 
-SQL = {"op2_secrets": _SECRETS, "op5_urls": _URLS, "op8_line_dedup": _LINES}
+
+
+def _distinct_terms(table: str, key: str) -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""SELECT {key}, term, count(*) AS tf
+    FROM (SELECT {key}, unnest(regexp_extract_all({lower}, '{term}')) AS term FROM {table}) GROUP BY ALL"""
+
+
+_RANKED = f"""
+WITH postings AS ({_distinct_terms("documents", "doc_id")}),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+sums AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, sums GROUP BY term),
+scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))))::BIGINT AS score
+    FROM ({_distinct_terms("benchmark", "item_id")}) i
+    JOIN postings p USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), sums
+    GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+SQL = {"op2_secrets": _SECRETS, "op5_urls": _URLS, "op8_line_dedup": _LINES, "op12_lexical_search": _RANKED}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillmart.llm import (
     bpe,
     decontamination,
+    lexical_search,
     licenses,
     line_dedup,
     permutation_index,
@@ -112,6 +113,12 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.neighbours(spark, _table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of all documents for each item of the benchmark."""
+    found = lexical_search.index(spark, _table(spark, sf_dir, "documents"))
+    return lexical_search.search(spark, found, _table(spark, sf_dir, "benchmark"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of two tokenizers over all documents, aligned."""
     paths = public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY)
@@ -130,5 +137,6 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
     "op11_fingerprints": op11_fingerprints,
+    "op12_lexical_search": op12_lexical_search,
     "op13_alignment": op13_alignment,
 }
