@@ -18,7 +18,7 @@ from tillmart.functions import event_time, receipt_total, safe_batch_id
 from tillmart.operators import features, gold, quality, silver
 from tillmart.plans import forecast, pipeline, reports
 from tillmart.session import checkpoint_root, scratch_path, tune
-from tillmart.sources import json_files, messages, star_schema, tables, versions
+from tillmart.sources import json_arrays, json_files, messages, star_schema, tables, versions
 from tillmart.streaming import daily as daily_stream
 from tillmart.streaming import ingest as ingest_stream
 
@@ -185,7 +185,8 @@ def batch_id_sanitize(spark: SparkSession, folder: str) -> DataFrame:
 def batch_filter(spark: SparkSession, folder: str) -> DataFrame:
     """From events stored by batch, as Raw is: only the wanted batch is read."""
     path, events = scratch_path(spark, "batches"), _events_in_batches(spark, folder)
-    events.write.partitionBy("batch_id").parquet(path)
+    # gathers small batches into one file each and splits large ones, instead of one file for each task and batch
+    events.hint("rebalance", "batch_id").write.partitionBy("batch_id").parquet(path)
     stored = spark.read.schema(events.schema).parquet(path).select(*events.columns)
     return silver.of_batch(stored, BATCH_DAY)
 
@@ -301,15 +302,12 @@ def raw_batch_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_array_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole receipts stored as JSON arrays, one array for each batch and customer group, and read back."""
+    """Whole receipts stored as JSON arrays, one file for each batch, and read back by the array reader."""
     path = scratch_path(spark, "raw-arrays")
-    receipts = _receipts(spark, folder).withColumn("shelf", F.pmod(F.xxhash64("transaction_id"), F.lit(64)))
-    arrays = receipts.groupBy("batch_id", "shelf").agg(
-        F.to_json(F.collect_list(F.struct(*schemas.POS_EVENT.fieldNames())), {"ignoreNullFields": "false"}).alias("value")
-    )
-    arrays.select("value").write.text(path)
-    # each line of these files is an array; the reader takes whole files, so the lines are parsed like its documents
-    documents = spark.read.text(path).select(F.explode(F.from_json("value", "array<string>", {"mode": "FAILFAST"})).alias("value"))
+    receipts = _kept(spark, _receipts(spark, folder), "receipts")
+    text = F.to_json(F.struct(*schemas.POS_EVENT.fieldNames()), {"ignoreNullFields": "false"})
+    json_arrays.write(receipts.select("batch_id", text.alias("value")), path, "batch_id")
+    documents = json_files.read_documents(spark, path, json_files.ARRAY, json_arrays.WRITTEN)
     return _flat(messages.strict(messages.decode(documents)))
 
 
