@@ -1,0 +1,111 @@
+"""Marts kept up to date by batches against marts built from everything."""
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import CUSTOMERS, PRODUCTS
+from tillmart import schemas
+from tillmart.operators import gold
+from tillmart.plans import incremental
+
+
+@pytest.fixture
+def marts(spark, tmp_path):
+    name = "inc_" + re.sub(r"\W", "_", tmp_path.name)
+    made = incremental.Marts(name, f"{tmp_path}/marts", shelves=4)
+    yield made
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def receipts(spark, *rows):
+    """(id, day of 2026, product, quantity) as Silver frames."""
+    stamp = dt.datetime(2026, 1, 1, 10)
+    headers = {t: (t, stamp + dt.timedelta(days=n), "s", "c1", 1.0, "card") for t, n, _, _ in rows}
+    return (
+        spark.createDataFrame(list(headers.values()), schemas.TRANSACTIONS),
+        spark.createDataFrame(CUSTOMERS, schemas.CUSTOMERS),
+        spark.createDataFrame([(t, p, q, 10.0) for t, _, p, q in rows], schemas.ITEMS),
+        spark.createDataFrame(PRODUCTS, schemas.PRODUCTS),
+    )
+
+
+def check(spark, marts, *batches):
+    """Both marts equal those of one fact of all the batches."""
+    fact = gold.fact_sales(*receipts(spark, *[row for batch in batches for row in batch]))
+    for name, expected in (("sales_daily", gold.sales_daily(fact)), ("product_sales", gold.product_sales(fact))):
+        found = spark.table(marts.table(name)).select(expected.columns)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect())), name
+
+
+A = [("t1", 0, "p1", 2), ("t1", 0, "p3", 1), ("t2", 40, "p2", 1)]
+B = [("t3", 41, "p3", 5), ("t2", 40, "p1", 1)]  # more lines of a receipt that another batch has too
+C = [("t4", 100, "p2", 7)]
+
+
+def test_three_batches_equal_a_rebuild(spark, marts):
+    for name, rows in (("run:a", A), ("b", B), ("c", C)):
+        touched = incremental.apply_batch(spark, marts, name, *receipts(spark, *rows))
+        assert touched.lines == len(rows)
+    assert touched.months == ("2026-04-01",) and len(touched.shelves) == 1
+    check(spark, marts, A, B, C)
+
+
+def test_a_batch_delivered_again_replaces_itself(spark, marts):
+    for name, rows in (("a", A), ("b", B), ("c", C), ("b", B)):
+        incremental.apply_batch(spark, marts, name, *receipts(spark, *rows))
+    check(spark, marts, A, B, C)
+    # another month and product than before: what it held is gone, also as the only rows of a day, month, shelf
+    touched = incremental.apply_batch(spark, marts, "c", *receipts(spark, ("t4", 10, "p1", 1)))
+    assert touched.months == ("2026-01-01", "2026-04-01")
+    check(spark, marts, A, B, [("t4", 10, "p1", 1)])
+    incremental.apply_batch(spark, marts, "a", *receipts(spark, ("t9", 0, "unknown", 1)))
+    check(spark, marts, B, [("t4", 10, "p1", 1)])
+
+
+@pytest.mark.parametrize("step", ["_refresh_days", "_refresh_products", "_touched_by"])
+def test_a_failed_run_is_made_good(spark, marts, monkeypatch, step):
+    for name, rows in (("a", A), ("b", B)):
+        incremental.apply_batch(spark, marts, name, *receipts(spark, *rows))
+    real, calls = getattr(incremental, step), []
+
+    def fails(*arguments):
+        calls.append(1)
+        if step == "_touched_by" and len(calls) == 1:
+            return real(*arguments)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, step, fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        incremental.apply_batch(spark, marts, "b", *receipts(spark, *C))
+    monkeypatch.undo()
+    incremental.apply_batch(spark, marts, "b", *receipts(spark, *C))
+    check(spark, marts, A, C)
+    assert spark.table(marts.table("pending")).isEmpty()
+
+
+def test_only_touched_partitions_are_read(spark, marts):
+    for name, rows in (("a", A), ("b", B), ("c", C)):
+        incremental.apply_batch(spark, marts, name, *receipts(spark, *rows))
+    files = incremental.of_months(spark, marts, ["2026-02-01"]).inputFiles()
+    assert len(files) == 2 and all("sale_month=2026-02-01" in file for file in files)
+    files = spark.table(marts.table("product_months")).where("sale_month = '2026-04-01'").inputFiles()
+    assert len(files) == 1 and "sale_month=2026-04-01" in files[0]
+
+
+def test_a_calendar_prunes_months_at_run_time(spark, marts):
+    for name, rows in (("a", A), ("b", B), ("c", C)):
+        incremental.apply_batch(spark, marts, name, *receipts(spark, *rows))
+    days = spark.range(120).select(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("sale_date"))
+    chosen = incremental.of_calendar(spark, marts, days.where("month(sale_date) = 2 and day(sale_date) = 11"))
+    assert sorted(r.transaction_id for r in chosen.collect()) == ["t3"]  # the 41st day after New Year's
+    plan = chosen._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan)
+
+
+def test_a_batch_without_a_known_line(spark, marts):
+    touched = incremental.apply_batch(spark, marts, "none", *receipts(spark, ("t1", 0, "unknown", 1)))
+    assert touched == incremental.Touched((), (), 0)
+    assert spark.table(marts.table("sales_daily")).isEmpty()

@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,3 +212,62 @@ def test_scratch_lies_below_the_checkpoint_folder(spark):
     assert checkpoint_root(spark) == root
     assert scratch_path(spark, "x").startswith(f"{root}/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_lake_below_a_folder_named_like_a_run(spark, tmp_path):
+    location = f"{tmp_path}/run_daily/run_{'a' * 32}/lake"
+    tables.ensure_tables(spark, "shop_of_runs", schemas.SAMPLE_TABLES, location)
+    rows = spark.createDataFrame([(1, "Alice", "DE")], "id INT, name STRING, country STRING")
+    for _ in range(2):
+        assert tables.refresh(rows, "shop_of_runs.customers") == 1
+    assert [tuple(r) for r in tables.scan(spark, "shop_of_runs.customers").collect()] == [(1, "Alice", "DE")]
+    files = tables.scan(spark, "shop_of_runs.customers").inputFiles()
+    assert all("/lake/customers/run_" in f for f in files)
+    assert [f.name for f in tmp_path.iterdir()] == ["run_daily"] and len(list((tmp_path / "run_daily").iterdir())) == 1
+
+
+def test_a_refused_switch_leaves_all_tables(spark, tmp_path, monkeypatch):
+    tables.ensure_tables(spark, "shop_switch", schemas.SAMPLE_TABLES, f"{tmp_path}/switch")
+    customers = spark.createDataFrame([(1, "Alice", "DE")], "id INT, name STRING, country STRING")
+    orders = spark.createDataFrame([(1, 1, 2.5, "2026-01-01")], "order_id INT, customer_id INT, amount DOUBLE, order_date STRING")
+    real = tables._point
+
+    def refuses(session, table, folder):
+        if table.endswith("orders") and "run_" in folder:
+            raise RuntimeError("no")
+        real(session, table, folder)
+
+    monkeypatch.setattr(tables, "_point", refuses)
+    with pytest.raises(RuntimeError, match="no"):
+        tables.refresh_all(spark, {"shop_switch.customers": customers, "shop_switch.orders": orders})
+    assert spark.table("shop_switch.customers").isEmpty() and spark.table("shop_switch.orders").isEmpty()
+
+
+RETRIED = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from tillmart import schemas
+from tillmart.sources import tables
+
+spark = SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+tables.ensure_tables(spark, "retried", schemas.SAMPLE_TABLES, {place!r})
+
+def fails_once(batches):
+    for n, batch in enumerate(batches):
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+rows = spark.range(1000).selectExpr("cast(id as int) id", "'a' name", "'b' country").repartition(3)
+print("ROWS", tables.refresh(rows.mapInArrow(fails_once, rows.schema), "retried.customers"), spark.table("retried.customers").count())
+"""
+
+
+def test_a_task_that_runs_again_counts_once(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    script = RETRIED.format(root=root, place=f"{tmp_path}/retried")
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300, cwd=tmp_path)
+    assert "ROWS 1000 1000" in done.stdout, done.stderr[-2000:]

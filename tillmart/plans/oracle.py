@@ -241,7 +241,7 @@ SQL: dict[str, str] = {
     "trend_revenue": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
         GROUP BY sale_date ORDER BY sale_date""",
     "trend_revenue_limited": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
-        GROUP BY sale_date ORDER BY sale_date LIMIT 10000""",
+        GROUP BY sale_date ORDER BY sale_date LIMIT 500""",
     "trend_revenue_range": f"""{_MARTS} SELECT sale_date, SUM(revenue) AS revenue FROM daily
         WHERE sale_date >= DATE '1997-01-01' AND sale_date < DATE '1998-01-01'
         GROUP BY sale_date ORDER BY sale_date""",
@@ -333,6 +333,11 @@ SQL: dict[str, str] = {
         SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id,
                CAST(o_totalprice AS DECIMAL(10, 2)) AS amount, CAST(o_orderdate AS DATE) AS order_date
         FROM orders""",
+    "incremental_marts": f"""{_MARTS}
+        SELECT 'day' AS mart, CAST(sale_date AS VARCHAR) AS label, transactions_count AS receipts, items_sold AS units, revenue FROM daily
+        UNION ALL SELECT 'product', CAST(product_id AS VARCHAR), NULL, units_sold, revenue FROM product_sales""",
+    "fact_calendar": f"""{_FACT} SELECT CAST(ts AS DATE) AS sale_date, COUNT(*) AS lines, ROUND(SUM(line_amount), 2) AS revenue
+        FROM fact WHERE year(ts) = 1997 AND quarter(ts) = 2 GROUP BY 1""",
     "raw_batch_files": _WHOLE_RECEIPTS,
     "raw_array_files": _WHOLE_RECEIPTS,
     "pipeline_reports": f"""{_MARTS}, exact AS (
@@ -347,8 +352,6 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'kpi_avg_check', NULL, ROUND(AVG(revenue / receipts), 4) FROM exact
         UNION ALL SELECT 'trend_revenue', CAST(sale_date AS VARCHAR), ROUND(revenue, 2) FROM exact
         UNION ALL SELECT 'trend_transactions', CAST(sale_date AS VARCHAR), CAST(receipts AS DOUBLE) FROM exact
-        UNION ALL SELECT 'trend_forecast', CAST(CAST(last + n AS DATE) AS VARCHAR), CAST(1 AS DOUBLE)
-        FROM (SELECT MAX(sale_date) AS last FROM exact), (SELECT unnest(range(1, 8))::INTEGER AS n)
         UNION ALL SELECT 'top_products', product_name, ROUND(revenue, 2) FROM names""",
     "daily_features": f"""{_MARTS}, framed AS ({_features("daily")})
         SELECT sale_date, revenue, {_FEATURE_LIST} FROM framed WHERE {_COMPLETE}""",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillmart import schemas
 from tillmart.functions import event_time, receipt_total, safe_batch_id
 from tillmart.operators import features, gold, quality, silver
-from tillmart.plans import forecast, pipeline, reports
+from tillmart.plans import forecast, incremental, pipeline, reports
 from tillmart.session import checkpoint_root, scratch_path, tune
 from tillmart.sources import json_arrays, json_files, messages, star_schema, tables, versions
 from tillmart.streaming import daily as daily_stream
@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2000, 7, 1)
 RANGE = ("1997-01-01", "1998-01-01")
 BATCH_DAY = "2024-01-15"
+TREND_ROWS = 500
 
 
 def _kept(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
@@ -79,8 +80,8 @@ def trend_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trend_revenue_limited(spark: SparkSession, folder: str) -> DataFrame:
-    """As a chart shows it: the oldest days up to the chart's row limit."""
-    return reports.trend_revenue(sales_daily(spark, folder), limit=reports.TREND_ROW_LIMIT)
+    """As a chart with a row limit shows it: the oldest days up to the limit."""
+    return reports.trend_revenue(sales_daily(spark, folder), limit=TREND_ROWS)
 
 
 def trend_revenue_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -292,6 +293,44 @@ def table_refresh_append(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def _marts(spark: SparkSession) -> incremental.Marts:
+    location = scratch_path(spark, "marts")
+    return incremental.Marts("tillmart_" + location[-12:], location)
+
+
+def incremental_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Both marts after three batches, of which the second came incomplete and with foreign receipts before, and was delivered again."""
+    s, marts = star_schema.silver(spark, folder), _marts(spark)
+    number, early = F.col("transaction_id") % 3, F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz")
+    batches = [("run:0", number == 0), ("run:1", (number >= 1) & early), ("run:1", number == 1), ("run:2", number == 2)]
+    for name, chosen in batches:
+        incremental.apply_batch(spark, marts, name, s.transactions.where(chosen), s.customers, s.items, s.products)
+    days = spark.table(marts.table("sales_daily"))
+    goods = spark.table(marts.table("product_sales"))
+    rows = days.select(
+        F.lit("day").alias("mart"), F.col("sale_date").cast("string").alias("label"), F.col("transactions_count").alias("receipts"),
+        F.col("items_sold").alias("units"), F.round("revenue", 2).alias("revenue"),
+    ).unionByName(goods.select(
+        F.lit("product").alias("mart"), F.col("product_id").alias("label"), F.lit(None).cast("bigint").alias("receipts"),
+        F.col("units_sold").alias("units"), F.round("revenue", 2).alias("revenue"),
+    ))
+    result = _kept(spark, rows, "marts-rows")
+    spark.sql(f"DROP DATABASE {marts.database} CASCADE")
+    return result
+
+
+def fact_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue on the order days of one quarter, from the fact stored by month: the joined calendar prunes the other months."""
+    s, marts = star_schema.silver(spark, folder), _marts(spark)
+    incremental.apply_batch(spark, marts, "all", s.transactions, s.customers, s.items, s.products)
+    days = s.transactions.select(F.to_date("ts").alias("sale_date")).where("year(sale_date) = 1997 and quarter(sale_date) = 2")
+    revenue = F.round(F.sum("line_amount"), 2).alias("revenue")
+    result = incremental.of_calendar(spark, marts, days).groupBy("sale_date").agg(F.count("*").alias("lines"), revenue)
+    result = _kept(spark, result, "calendar-days")
+    spark.sql(f"DROP DATABASE {marts.database} CASCADE")
+    return result
+
+
 def raw_batch_files(spark: SparkSession, folder: str) -> DataFrame:
     """Whole receipts written below their batch, written again, read back, and flattened with their headers."""
     path = scratch_path(spark, "raw")
@@ -316,8 +355,9 @@ def _flat(events: DataFrame) -> DataFrame:
     return lines.select(*[c for c in lines.columns if c != "item"], "item.*")
 
 
-def pipeline_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole chain: all receipts as one announced batch of messages, stored, loaded, built, forecast and reported."""
+def _chain(spark: SparkSession, folder: str) -> DataFrame:
+    """(report, label, value) of the whole chain: all receipts as one announced batch of messages, stored, loaded, built, forecast
+    with the default forest, and reported."""
     path, batch = scratch_path(spark, "chain"), "scheduled__2026-07-01T00:00:00+00:00"
     raw = pipeline.Raw(f"{path}/crm", f"{path}/products", f"{path}/pos")
     json_files.write_snapshot(_raw_customers(spark, folder), raw.customers)
@@ -327,25 +367,32 @@ def pipeline_reports(spark: SparkSession, folder: str) -> DataFrame:
     pipeline.store_batch(messages.encode(receipts), raw.events, batch, expected)
 
     name = "tillmart_" + path[-12:]
-    settings = pipeline.Settings(
-        silver=f"{name}_silver", gold=f"{name}_gold", location=path, forest=forecast.ForestSettings(trees=2, max_depth=2)
-    )
+    settings = pipeline.Settings(silver=f"{name}_silver", gold=f"{name}_gold", location=path)
     found = pipeline.run(spark, raw, batch, expected, settings)
-    label, value = F.col("sale_date").cast("string"), {"kpi_avg_check": 4}
+    value = {"kpi_avg_check": 4}
     parts = []
     for report, frame in found.items():
-        if report == "trend_forecast":  # the model's own values are checked where they have SQL
-            rows = frame.select(label.alias("label"), F.lit(1.0).alias("value"))
-        else:
-            text = F.lit(None).cast("string") if len(frame.columns) == 1 else F.col(frame.columns[0]).cast("string")
-            rows = frame.select(text.alias("label"), F.round(F.col(frame.columns[-1]).cast("double"), value.get(report, 2)).alias("value"))
+        text = F.lit(None).cast("string") if len(frame.columns) == 1 else F.col(frame.columns[0]).cast("string")
+        rows = frame.select(text.alias("label"), F.round(F.col(frame.columns[-1]).cast("double"), value.get(report, 2)).alias("value"))
         parts.append(rows.select(F.lit(report).alias("report"), "label", "value"))
+    status = spark.createDataFrame([(found.forecast.model_name, float(found.forecast.days))], "label STRING, value DOUBLE")
+    parts.append(status.select(F.lit("forecast_days").alias("report"), "label", "value"))
     result = _kept(spark, reduce(DataFrame.unionByName, parts), "chain-reports")
     for database in (settings.silver, settings.gold):
         spark.sql(f"DROP DATABASE {database} CASCADE")
     return result
 
 
+def pipeline_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """All reports of the whole chain that do not depend on the trained model."""
+    return _chain(spark, folder).where("report NOT IN ('trend_forecast', 'forecast_days')")
+
+
+def pipeline_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """The forecast that the whole chain ends with, and its model and number of days."""
+    return _chain(spark, folder).where("report IN ('trend_forecast', 'forecast_days')")
+
+
 # Features and forecast ------------------------------------------------------
 def _category_days(spark: SparkSession, folder: str) -> DataFrame:
     return gold.revenue_by_day(fact_sales(spark, folder), "category").withColumn("revenue", F.round("revenue", 2))
@@ -537,7 +584,7 @@ ALL: tuple[Query, ...] = (
     receipt_total_reconcile, timestamp_normalize,
     batch_id_sanitize, batch_filter, batch_completeness, event_json_roundtrip,
     gold_row_counts, gold_validation, orphan_report,
-    insert_if_absent, as_of_read, table_refresh_append, raw_batch_files, raw_array_files, pipeline_reports,
+    insert_if_absent, as_of_read, table_refresh_append, incremental_marts, fact_calendar, raw_batch_files, raw_array_files, pipeline_reports, pipeline_forecast,
     daily_features, series_features, next_day_features, history_gate, holdout_split,
     candidate_mae, best_candidate, linear_model_mae, linear_forecast,
     selected_model, selected_forecast, model_mae, revenue_forecast, trend_forecast,
