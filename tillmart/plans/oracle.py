@@ -401,6 +401,9 @@ SQL: dict[str, str] = {
         SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id,
                COUNT(*) AS expected, COUNT(*) AS received, TRUE AS passed
         FROM orders GROUP BY 1""",
+    "stream_bounded": """
+        SELECT 'scheduled__1997-05-01T00:00:00+00:00' AS batch_id, COUNT(*) AS expected, COUNT(*) AS received, 'announced' AS ended_by
+        FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1997-05'""",
     "stream_rejected": """
         SELECT 'broken ' || o_orderkey AS message, 'malformed' AS problem FROM orders WHERE o_orderkey % 50 = 0""",
     "stream_ingest_transactions": _HEADERS,

@@ -28,6 +28,7 @@ AS_OF = datetime(2000, 7, 1)
 RANGE = ("1997-01-01", "1998-01-01")
 BATCH_DAY = "2024-01-15"
 TREND_ROWS = 500
+BOUNDED_BATCH = "scheduled__1997-05-01T00:00:00+00:00"
 
 
 def _kept(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
@@ -568,6 +569,21 @@ def _ingested(spark: SparkSession, events: DataFrame, encoded: bool = False) ->
     return targets
 
 
+def stream_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """One announced batch out of a topic with all batches: the read ends at the announced count, and all of it is in Raw."""
+    path = scratch_path(spark, "bounded")
+    receipts = _kept(spark, _receipts(spark, folder), "receipts")
+    messages.encode(receipts).write.text(f"{path}/topic")
+    announced = receipts.where(F.col("batch_id") == BOUNDED_BATCH).count()
+    targets = ingest_stream.Targets.below(path)
+    topic = spark.readStream.text(f"{path}/topic")
+    outcome = ingest_stream.ingest_batch(topic, targets, f"{path}/checkpoint", BOUNDED_BATCH, announced, total=3600)
+    stored = json_files.read_raw_batch(spark, targets.raw, BOUNDED_BATCH)
+    return stored.agg(F.count("*").alias("received")).select(
+        F.lit(BOUNDED_BATCH).alias("batch_id"), F.lit(announced).cast("bigint").alias("expected"), "received", F.lit(outcome.reason).alias("ended_by")
+    )
+
+
 def stream_ingest_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return ingest_stream.read_transactions(spark, _ingested(spark, _receipts(spark, folder)))
 
@@ -589,7 +605,7 @@ ALL: tuple[Query, ...] = (
     candidate_mae, best_candidate, linear_model_mae, linear_forecast,
     selected_model, selected_forecast, model_mae, revenue_forecast, trend_forecast,
     stream_daily_sales, stream_ingest_transactions, stream_ingest_items,
-    stream_receipts_daily, stream_raw, stream_rejected,
+    stream_receipts_daily, stream_raw, stream_rejected, stream_bounded,
 )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillmart import schemas
 from tillmart.functions import event_time, line_amount
+from tillmart.streaming.progress import TALLY
 
 
 def receipt_measures(events: DataFrame, customers: DataFrame | None = None) -> DataFrame:
@@ -74,6 +75,7 @@ def maintain(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .parquet(path)
         )
 
+    TALLY.listen(daily.sparkSession)
     return (
         daily.writeStream.foreachBatch(write)
         .outputMode("update")
@@ -84,8 +86,8 @@ def maintain(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the finished query dropped because they came later than the watermark allows."""
-    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
+    """Rows that the finished query dropped, in any micro-batch, because they came later than the watermark allows."""
+    return TALLY.finished(query).late
 
 
 def require_none_late(query: StreamingQuery) -> None:

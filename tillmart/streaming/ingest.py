@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -16,6 +17,7 @@ from tillmart.functions import safe_batch_id
 from tillmart.operators.silver import to_items, to_transactions
 from tillmart.sources.json_files import BATCH_KEY
 from tillmart.sources.messages import MESSAGE, PROBLEMS, accepted, decode, rejected, strict
+from tillmart.streaming.progress import IDLE_SECONDS, TALLY, TOTAL_SECONDS, Outcome, awaited, end_when
 
 RUN, MICRO_BATCH = "run", "micro_batch"
 
@@ -39,8 +41,8 @@ class Targets:
         return cls(f"{root}/raw", f"{root}/transactions", f"{root}/items", f"{root}/rejected")
 
 
-def ingest(messages: DataFrame, targets: Targets, checkpoint: str, value: str = "value") -> StreamingQuery:
-    """Start a query that takes what is available, then stops.
+def ingest(messages: DataFrame, targets: Targets, checkpoint: str, value: str = "value", poll: str | None = None) -> StreamingQuery:
+    """Start a query that takes what is available, then stops; with an interval ``poll``, it goes on looking for more.
 
     A micro-batch that is run again after a failure overwrites its own partition, so each event lands once.
     Events that cannot be loaded are kept apart; :func:`tillmart.sources.messages.strict` is the failing
@@ -60,12 +62,30 @@ def ingest(messages: DataFrame, targets: Targets, checkpoint: str, value: str =
         finally:
             decoded.unpersist()
 
-    return (
-        messages.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    timing = {"processingTime": poll} if poll else {"availableNow": True}
+    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**timing).start()
+
+
+def ingest_batch(
+    messages: DataFrame,
+    targets: Targets,
+    checkpoint: str,
+    batch_id: str,
+    announced: int,
+    idle: float = IDLE_SECONDS,
+    total: float = TOTAL_SECONDS,
+    value: str = "value",
+) -> Outcome:
+    """Read until all announced events of a batch were ingested, or none came for ``idle`` seconds, or ``total`` are over.
+
+    Events of other batches that come along are ingested as well, as their messages are used up. Whether the batch is
+    complete is for the caller to decide, from the outcome or from what is stored.
+    """
+    begun = time.monotonic()
+    TALLY.listen(messages.sparkSession)
+    wanted = F.get_json_object(F.col(value).cast("string"), "$.batch_id") == F.lit(batch_id)
+    query = ingest(awaited(messages, wanted), targets, checkpoint, value, poll="0 seconds")
+    return end_when(query, announced, idle, total, begun)
 
 
 def _raw(decoded: DataFrame) -> DataFrame:
