@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tillmart.llm.common import few_at_once
 
@@ -27,6 +28,7 @@ EDIT_SHARE = 0.1  # edits allowed per character of a passage
 BLOCK_CHARACTERS = 2_000_000  # of passages sent to the tasks at once; a longer passage is a block of its own
 BLOCK_ITEMS = 30_000
 CHUNK_CHARACTERS = 1_000_000  # of documents looked at together
+SLICE = 1_000_000  # pairs of a shared q-gram's places in text and passages that are counted at once
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
@@ -96,22 +98,32 @@ def block(items: list[tuple], q: int = Q, share: float = EDIT_SHARE) -> Block:
     return Block(ids, texts, edits, least, grams, np.append(first, len(every)), item[order], place[order], table, short, q)
 
 
-def distance(passage: np.ndarray, text: np.ndarray, edits: int) -> int | None:
-    """The fewest edits between the passage and any piece of the text, None if more than ``edits``.
+def distance(passage: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> int | None:
+    """The fewest edits between the passage and a piece of the text, None if more than ``edits``.
 
-    ``text`` is a region not much longer than the passage, so all its columns are the band. Row by row of the passage.
+    Only alignments in a band of diagonals are looked at: those where character ``n`` of the passage lies at ``n + low`` to ``n + high`` of the
+    text, which may begin before the text or end behind it. Row by row of the passage, as many cells each as the band has diagonals.
     """
-    width = np.arange(len(text) + 1)
-    row = np.zeros(len(text) + 1, np.int64)
+    width = high - low + 1
+    across = np.arange(width)
+    # the text under the band, with characters that equal none before its begin and behind its end
+    padded = np.full(len(passage) + width, -1, np.int64)
+    begin, end = max(0, low), min(len(text), low + len(padded))
+    if begin < end:
+        padded[begin - low : end - low] = text[begin:end]
+    never = edits + 1 + len(passage) + width
+    # cell d of row n: the passage's first n characters against a piece that ends before place n + low + d
+    at = low + across
+    row = np.where((at >= 0) & (at <= len(text)), 0, never)
     for n, code in enumerate(passage, 1):
-        best = np.empty_like(row)
-        best[0] = n
-        np.minimum(row[:-1] + (text != code), row[1:] + 1, out=best[1:])
-        row = np.minimum.accumulate(best - width) + width
+        replaced = row + (padded[n - 1 : n - 1 + width] != code)
+        dropped = np.append(row[1:] + 1, never)
+        outside = (at + n < 0) | (at + n > len(text))
+        best = np.where(outside, never, np.minimum(replaced, dropped))
+        row = np.where(outside, never, np.minimum.accumulate(best - across) + across)
         if row.min() > edits:
             return None
-    least = int(row.min())
-    return least if least <= edits else None
+    return int(row.min())
 
 
 def _hits(codes: np.ndarray, index: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -128,34 +140,54 @@ def _hits(codes: np.ndarray, index: Block) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(slots)
 
 
-def regions(codes: np.ndarray, starts: np.ndarray, index: Block) -> list[tuple[int, int, int, int]]:
-    """(document, passage, from, to) of regions in joined documents that have enough shared q-grams in one band."""
+def _slices(at: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of the hits, in order, that stand for at most ``SLICE`` pairs of places each, or are a single hit."""
+    ends, begin = np.cumsum(times), 0
+    while begin < len(at):
+        done = int(ends[begin - 1]) if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, done + SLICE, "right")))
+        yield begin, stop
+        begin = stop
+
+
+def regions(codes: np.ndarray, starts: np.ndarray, index: Block) -> Iterator[tuple[int, int, int, int]]:
+    """(document, passage, first and last diagonal) of the bands in joined documents that have enough shared q-grams.
+
+    A frequent q-gram of a text meets every place that passages have it at. These pairs are counted per band in slices of
+    bounded size, in the order of the text, and a band is judged and forgotten as soon as the text has gone past it; so what is held at a
+    time does not grow with how often a q-gram occurs in a text.
+    """
     at, slot = _hits(codes, index)
     if not len(at):
-        return []
+        return
+    longest = max(map(len, index.texts))
     times = index.first[slot + 1] - index.first[slot]
-    at = np.repeat(at, times)
-    shift = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-    occurrence = np.repeat(index.first[slot], times) + shift
-    item = index.item[occurrence]
-    doc = np.searchsorted(starts, at, side="right") - 1
-    edits = index.edits[item]
-    diagonal = at - starts[doc] - index.place[occurrence] + max(map(len, index.texts))  # never negative
-    band = diagonal // (edits + 1) + 1
-    # each hit lies in the band that starts at or before its diagonal and in the one before that
-    key = (doc << np.int64(48)) | (item << np.int64(33))
-    keys = np.concatenate([key | band, key | (band - 1)])
-    keys, counts = np.unique(keys, return_counts=True)
-    item = (keys >> np.int64(33)) & np.int64(0x7FFF)
-    enough = counts >= index.least[item]
-    keys, item = keys[enough], item[enough]
-    doc, band = keys >> np.int64(48), (keys & np.int64((1 << 33) - 1)) - 1
-    low = band * (index.edits[item] + 1) - max(map(len, index.texts))  # first diagonal of the band
-    span = 3 * index.edits[item] + 2
-    found = []
-    for d, i, a, s, e in zip(doc.tolist(), item.tolist(), low.tolist(), span.tolist(), index.edits[item].tolist()):
-        found.append((d, i, a - e, a + s + len(index.texts[i])))
-    return found
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for begin, stop in _slices(at, times):
+        size = times[begin:stop]
+        place = np.repeat(at[begin:stop], size)
+        shift = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)
+        occurrence = np.repeat(index.first[slot[begin:stop]], size) + shift
+        item = index.item[occurrence]
+        doc = np.searchsorted(starts, place, side="right") - 1
+        diagonal = place - starts[doc] - index.place[occurrence] + longest  # never negative
+        band = diagonal // (index.edits[item] + 1) + 1
+        # each hit lies in the band that starts at or before its diagonal and in the one before that
+        key = (doc << np.int64(48)) | (item << np.int64(33))
+        new, more = np.unique(np.concatenate([key | band, key | (band - 1)]), return_counts=True)
+        keys, again = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        counts = np.bincount(again, np.concatenate([counts, more]), len(keys)).astype(np.int64)
+        item = (keys >> np.int64(33)) & np.int64(0x7FFF)
+        step = index.edits[item] + 1
+        doc, low = keys >> np.int64(48), ((keys & np.int64((1 << 33) - 1)) - 1) * step - longest  # first diagonal of the band
+        if stop < len(at):
+            over = starts[doc] + low + 2 * step + longest < at[stop]
+        else:
+            over = np.ones(len(keys), bool)
+        enough = over & (counts >= index.least[item])
+        for d, i, a, e in zip(doc[enough].tolist(), item[enough].tolist(), low[enough].tolist(), index.edits[item][enough].tolist()):
+            yield d, i, a - e, a + 3 * e + 2
+        keys, counts = keys[~over], counts[~over]
 
 
 def matches(texts: list[str], index: Block) -> list[dict[int, int]]:
@@ -165,16 +197,24 @@ def matches(texts: list[str], index: Block) -> list[dict[int, int]]:
     starts = np.cumsum(lengths) - lengths
     codes = _codes("".join(texts))
     passages: dict[int, np.ndarray] = {}
+    aligned: dict[tuple, int | None] = {}
     for doc, item, low, high in regions(codes, starts, index):
         known = found[doc].get(item)
         if known == 0:
             continue
-        low, high = max(0, low), min(len(texts[doc]), max(0, high))
-        if texts[doc].find(index.texts[item], low, high) >= 0:
+        begin, end = max(0, low), min(len(texts[doc]), max(0, high + len(index.texts[item])))
+        if texts[doc].find(index.texts[item], begin, end) >= 0:
             found[doc][item] = 0
             continue
-        passage = passages.setdefault(item, _codes(index.texts[item]))
-        edits = distance(passage, codes[starts[doc] + low : starts[doc] + high], int(index.edits[item]))
+        if item not in passages:
+            passages[item] = _codes(index.texts[item]).astype(np.int64)
+        same = (item, low - begin, high - begin, texts[doc][begin:end])
+        if same not in aligned:  # a text that repeats itself has many equal regions
+            if len(aligned) >= 10_000:
+                aligned.clear()
+            text = codes[starts[doc] + begin : starts[doc] + end]
+            aligned[same] = distance(passages[item], text, low - begin, high - begin, int(index.edits[item]))
+        edits = aligned[same]
         if edits is not None and (known is None or edits < known):
             found[doc][item] = edits
     for item in index.short:
@@ -210,9 +250,6 @@ def _blocks(rows: Iterable) -> Iterator[list[tuple]]:
         yield part
 
 
-SCHEMA = "item_ids array<bigint>, edits array<int>"
-
-
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float = EDIT_SHARE) -> DataFrame:
     """(doc_id, item_ids, edits) per row of ``docs`` (doc_id, text): the passages of ``benchmark`` (item_id, text) in it.
 
@@ -223,12 +260,14 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, q:
     are not looked at. An empty table on either side gives no matches.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    named = benchmark.schema["item_id"].dataType
+    columns = f"doc_id {kind}, text string, item_ids array<{named.simpleString()}>, edits array<int>"
     carried, first = few_at_once(docs).select("doc_id", "text"), True
     for shipped in _shipped(spark, benchmark, q, share):
-        carried = carried.mapInArrow(_Pass(shipped, first), f"doc_id {kind}, text string, {SCHEMA}")
+        carried = carried.mapInArrow(_Pass(shipped, first, to_arrow_type(named)), columns)
         first = False
     if first:
-        nothing = [F.array().cast("array<bigint>").alias("item_ids"), F.array().cast("array<int>").alias("edits")]
+        nothing = [F.array().cast(f"array<{named.simpleString()}>").alias("item_ids"), F.array().cast("array<int>").alias("edits")]
         return carried.select("doc_id", *nothing)
     return carried.select("doc_id", "item_ids", "edits")
 
@@ -265,8 +304,8 @@ def _holds(shipped):
 class _Pass:
     """One pass of the documents through a block; the text goes on to the next block."""
 
-    def __init__(self, shipped, first: bool):
-        self.shipped, self.first = shipped, first
+    def __init__(self, shipped, first: bool, kind: pa.DataType):
+        self.shipped, self.first, self.kind = shipped, first, kind
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = self.shipped.value
@@ -276,12 +315,12 @@ class _Pass:
             if not self.first:
                 before = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 pairs = [list(zip(ids, edits)) + new for (ids, edits), new in zip(before, pairs)]
-            pairs = [sorted(p, key=lambda x: (x[0] is None, x[0] or 0, x[1])) for p in pairs]
+            pairs = [sorted(p, key=lambda x: (x[0] is None, *(x if x[0] is not None else x[1:]))) for p in pairs]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([[i for i, _ in p] for p in pairs], pa.list_(pa.int64())),
+                    pa.array([[i for i, _ in p] for p in pairs], pa.list_(self.kind)),
                     pa.array([[n for _, n in p] for p in pairs], pa.list_(pa.int32())),
                 ],
                 ["doc_id", "text", "item_ids", "edits"],
