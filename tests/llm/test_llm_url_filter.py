@@ -1,6 +1,7 @@
 """URL rules against plain Python."""
 
 import random
+import tracemalloc
 
 import pytest
 
@@ -40,6 +41,21 @@ def test_urls(spark, rules):
     assert url_filter.judged(spark, pages.limit(0), rules).collect() == []
 
 
+def test_hosts_of_very_many_labels(tmp_path):
+    rules = [*URL_RULES, ("block", "x.y.z.w/")]
+    url_filter.write_array(rules, str(tmp_path / "rules.bin"))
+    array = url_filter.DigestArray(str(tmp_path / "rules.bin"))
+    urls = [f"http://{'a.' * 100_000}{end}" for end in ("com/fr/", "example.org/es/1", "y.z.w/", "x.y.z.w/", "x.y.z.w./")]
+    tracemalloc.start()
+    try:
+        found = array.judge([url_filter.split_url(u) for u in urls])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [r for r, _ in found] == ["com/fr/", "example.org/es/", None, "x.y.z.w/", None]
+    assert peak < 20_000_000
+
+
 def test_many_rules_and_collisions(tmp_path, monkeypatch):
     draw = random.Random(4)
     rules = {f"h{draw.randrange(40)}.{draw.choice(['com', 'org'])}/{draw.choice(['', 'a', 'ab/', 'abc'])}": draw.choice(["allow", "block"]) for _ in range(300)}

@@ -46,10 +46,11 @@ def write_array(rules: Iterable[tuple[str, str]], file: str) -> None:
         verdicts[data] = max(verdicts.get(data, 0), BLOCK if verdict == "block" else ALLOW)
     entries = sorted((xxhash.xxh64_intdigest(data), data) for data in verdicts)
     paths = sorted({len(data.decode("utf-8").partition("/")[2]) + 1 for _, data in entries})
+    labels = sorted({data.decode("utf-8").partition("/")[0].count(".") + 1 for _, data in entries})
     ends = np.cumsum([len(d) for _, d in entries], dtype=np.int64) if entries else np.zeros(0, np.int64)
     with open(file, "wb") as out:
-        np.array([_MAGIC, len(entries), len(paths)], "<u8").tofile(out)
-        np.array(paths, "<i8").tofile(out)
+        np.array([_MAGIC, len(entries), len(paths), len(labels)], "<u8").tofile(out)
+        np.array([*paths, *labels], "<i8").tofile(out)
         np.array([d for d, _ in entries], "<u8").tofile(out)
         ends.astype("<i8").tofile(out)
         np.array([verdicts[d] for _, d in entries], np.uint8).tofile(out)
@@ -61,12 +62,14 @@ class DigestArray:
 
     def __init__(self, file: str):
         self.data = np.memmap(file, np.uint8, "r")
-        magic, self.size, paths = (int(x) for x in self.data[:24].view("<u8"))
+        magic, self.size, paths, labels = (int(x) for x in self.data[:32].view("<u8"))
         if magic != _MAGIC:
             raise ValueError(f"not a digest array: {file}")
-        at = 24
+        at = 32
         self.lengths = self.data[at : at + 8 * paths].view("<i8").tolist()  # of the rules' paths
         at += 8 * paths
+        self.labels = self.data[at : at + 8 * labels].view("<i8").tolist()  # how many labels the rules' hosts have
+        at += 8 * labels
         self.digests = self.data[at : at + 8 * self.size].view("<u8")
         at += 8 * self.size
         self.ends = self.data[at : at + 8 * self.size].view("<i8")
@@ -93,8 +96,9 @@ class DigestArray:
         """For each host and path the longest rule that fits (None: no rule) and its verdict (then: allow)."""
         keys, owners = [], []
         for n, (host, path) in enumerate(urls):
-            parts = host.split(".")
-            suffixes = [".".join(parts[k:]) for k in range(len(parts))] if host else []
+            # only as many labels from the end as some rule has
+            parts = host.rsplit(".", self.labels[-1]) if host and self.labels else []
+            suffixes = [host if size == host.count(".") + 1 else ".".join(parts[-size:]) for size in self.labels if size <= host.count(".") + 1]
             heads = [path[:size] for size in self.lengths if size <= len(path)]
             new = [(s + h).encode("utf-8", "surrogatepass") for s in suffixes for h in heads if s]
             keys += new
