@@ -95,15 +95,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return few_at_once(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
-_RESULT = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-_FIELDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_RESULT = "n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_FIELDS = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
 
 def _compared(text: str, own: bytes, following: str, next_digest: bytes) -> tuple:
     changed = edited(text, following)
     of_changed = own if changed == text else digest(changed)
-    sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-    return len(text), sha, own.hex(), of_changed.hex(), likeness(own, of_changed), likeness(own, next_digest)
+    sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).digest()
+    return len(text), sha, own, of_changed, likeness(own, of_changed), likeness(own, next_digest)
 
 
 def neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -141,7 +141,9 @@ def neighbours(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = few_at_once(ranged).select("doc_id", "text").mapInArrow(run, f"part int, kind int, doc_id {kind}, text string, {_RESULT}")
     found = stored(spark, found, "digests")
     results = ["doc_id", *[c.split()[0] for c in _RESULT.split(", ")]]
-    return found.where(F.col("kind") == DONE).select(*results).unionByName(_closed(found, kind))
+    whole = found.where(F.col("kind") == DONE).select(*results).unionByName(_closed(found, kind))
+    written = {n: F.lower(F.hex(n)) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")}  # stored as half as many bytes
+    return whole.withColumns(written)
 
 
 def _rows(part: int, kind: pa.DataType, ids: list, made: list, ends: list) -> Iterator[pa.RecordBatch]:
