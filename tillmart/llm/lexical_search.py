@@ -27,7 +27,7 @@ from tillmart.llm.common import few_at_once, rows_at_once, stored
 from tillmart.llm.grid_treap import Treap, best_columns, smallest_places
 
 MOST = 50
-POSTINGS = 1_500_000  # points after which a task closes a shard and begins another
+POSTINGS = 500_000  # points after which a task closes a shard and begins another
 ITEMS_PER_BLOCK = 256  # items whose paths are handed to a shard at once
 ITEMS_AT_ONCE = 16  # items that descend together
 
