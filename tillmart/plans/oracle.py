@@ -384,6 +384,9 @@ SQL: dict[str, str] = {
     "linear_model_mae": f"""{_least_squares("n < size")}
         SELECT category, ROUND(ABS(revenue - ({_PREDICTED_ROW})), 1) AS mae
         FROM placed, coefficients WHERE n = size""",
+    "merged_linear_mae": f"""{_least_squares("n < size")}
+        SELECT category, ROUND(ABS(revenue - ({_PREDICTED_ROW})), 1) AS mae
+        FROM placed, coefficients WHERE n = size""",
     "selected_model": _SELECTION,
     "selected_forecast": _SELECTED_FORECAST,
     "linear_forecast": f"""{_least_squares("TRUE")}{_rolled(7)}

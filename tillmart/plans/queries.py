@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillmart import schemas
 from tillmart.functions import event_time, receipt_total, safe_batch_id
-from tillmart.operators import features, gold, quality, silver
+from tillmart.operators import features, gold, least_squares, quality, silver
 from tillmart.plans import forecast, incremental, pipeline, reports
 from tillmart.session import checkpoint_root, scratch_path, tune
 from tillmart.sources import json_arrays, json_files, messages, star_schema, tables, versions
@@ -466,6 +466,16 @@ def linear_model_mae(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("mae", F.round("mae", 1))
 
 
+def merged_linear_mae(spark: SparkSession, folder: str) -> DataFrame:
+    """The linear candidate from sums of products that are kept by year and added up, on the newest row of each category."""
+    panel = _kept_panel(spark, folder)
+    train = panel.where("not is_holdout").withColumn("year", F.year("sale_date"))
+    years = _kept(spark, least_squares.moments(train, ["year"], least_squares.origins(train), within=()), "sums-by-year")
+    fit = least_squares.solved(least_squares.merged([years]))
+    scores = features.mean_absolute_error(least_squares.predicted(panel.where("is_holdout"), fit), ["category"])
+    return scores.withColumn("mae", F.round("mae", 1))
+
+
 def linear_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """The linear candidate alone, trained on all rows and rolled seven days ahead for each category."""
     days = _kept(spark, _category_days(spark, folder), "category-days")
@@ -602,7 +612,7 @@ ALL: tuple[Query, ...] = (
     gold_row_counts, gold_validation, orphan_report,
     insert_if_absent, as_of_read, table_refresh_append, incremental_marts, fact_calendar, raw_batch_files, raw_array_files, pipeline_reports, pipeline_forecast,
     daily_features, series_features, next_day_features, history_gate, holdout_split,
-    candidate_mae, best_candidate, linear_model_mae, linear_forecast,
+    candidate_mae, best_candidate, linear_model_mae, merged_linear_mae, linear_forecast,
     selected_model, selected_forecast, model_mae, revenue_forecast, trend_forecast,
     stream_daily_sales, stream_ingest_transactions, stream_ingest_items,
     stream_receipts_daily, stream_raw, stream_rejected, stream_bounded,
