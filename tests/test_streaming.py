@@ -9,7 +9,7 @@ from tests.rows import event, messages, text
 from tillmart.operators import gold, silver
 from tillmart.sources import json_files
 from tillmart.sources.messages import decode, strict
-from tillmart.streaming import daily, ingest
+from tillmart.streaming import daily, fact, ingest
 
 
 def deliver(folder, name, *documents):
@@ -97,3 +97,39 @@ def test_receipts_keep_their_wall_clock(spark):
     events = strict(decode(messages(spark, event(1, timestamp="2026-07-04T23:30:00-05:00"))))
     row = daily.receipt_measures(events).first()
     assert tuple(row) == ("TXN-1", dt.datetime(2026, 7, 4, 23, 30), 3, 210.5, 0)
+
+
+def test_two_streams(spark, tmp_path):
+    """Headers and lines apart, lines first, in several micro-batches: only closed days come, each once and equal to the batch mart."""
+    at = dt.datetime(2026, 7, 4, 9)
+    headers = [(f"T{n}", at + dt.timedelta(hours=7 * n), "c1" if n % 5 else "nobody") for n in range(30)] + [(None, at, "c1")]
+    lines = [(h[0], h[1], p, 2, 1.5 + n) for n, h in enumerate(headers) for p in ("p1", "p1", "p2", "unknown")[: 1 + n % 4]]
+    shapes = "transaction_id string, ts timestamp_ntz, customer_id string", "transaction_id string, ts timestamp_ntz, product_id string, quantity int, unit_price double"
+    customers = spark.createDataFrame([("c1",)], "customer_id string")
+    products = spark.createDataFrame([("p1",), ("p2",)], "product_id string")
+    far = at + dt.timedelta(days=40)
+
+    def run(*new):
+        for name, rows, shape in zip(("headers", "lines"), new, shapes):
+            spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        topics = [spark.readStream.schema(shape).parquet(f"{tmp_path}/{name}") for name, shape in zip(("headers", "lines"), shapes)]
+        met = fact.lines_of_known_receipts(*topics, customers, products)
+        query = daily.maintain(fact.closed_days(met), f"{tmp_path}/days", f"{tmp_path}/checkpoint", "append")
+        query.awaitTermination()
+        daily.require_none_late(query)
+        return sorted(map(tuple, daily.read_daily(spark, f"{tmp_path}/days").collect()))
+
+    known = {h[0]: h[1] for h in headers if h[0] and h[2] == "c1"}
+    wanted = {}
+    for receipt, ts, product, quantity, price in lines:
+        if receipt in known and product in ("p1", "p2"):
+            seen, units, revenue = wanted.setdefault(ts.date(), (set(), 0, 0.0))
+            wanted[ts.date()] = (seen | {receipt}, units + quantity, revenue + quantity * price)
+    wanted = [(day, len(seen), units, revenue, revenue / len(seen)) for day, (seen, units, revenue) in sorted(wanted.items())]
+
+    first, second = [h for h in headers if h[1] < at + dt.timedelta(days=4)], [h for h in headers if h[1] >= at + dt.timedelta(days=4)]
+    early, rest = [x for x in lines if x[1] < at + dt.timedelta(days=4, hours=12)], [x for x in lines if x[1] >= at + dt.timedelta(days=4, hours=12)]
+    found = run(first, early)
+    assert found == wanted[: len(found)] and len(found) < 4
+    found = run(second + [("end", far, "c1")], rest + [("last", far, "p1", 1, 1.0)])
+    assert found == wanted

@@ -399,6 +399,7 @@ SQL: dict[str, str] = {
                ROUND(SUM(value), 2) AS revenue, ROUND(SUM(value), 2) / COUNT(DISTINCT event_id) AS avg_check
         FROM events GROUP BY 1""",
     "stream_receipts_daily": f"{_MARTS} SELECT * FROM daily",
+    "stream_closed_days": f"{_MARTS} SELECT * FROM daily",
     # no receipt of the tables is long enough for a second document
     "stream_raw": """
         SELECT 'scheduled__' || strftime(o_orderdate, '%Y-%m') || '-01T00:00:00+00:00' AS batch_id,

@@ -20,6 +20,7 @@ from tillmart.plans import forecast, incremental, pipeline, reports
 from tillmart.session import checkpoint_root, scratch_path, tune
 from tillmart.sources import json_arrays, json_files, messages, star_schema, tables, versions
 from tillmart.streaming import daily as daily_stream
+from tillmart.streaming import fact as fact_stream
 from tillmart.streaming import ingest as ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -552,6 +553,32 @@ def stream_receipts_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_closed_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers and lines as two streams, joined and added up; a last message in each, some days later, closes all days."""
+    path = scratch_path(spark, "closed-days")
+    headers = star_schema.transactions(spark, folder).select("transaction_id", "ts", "customer_id")
+    items = star_schema.items(spark, folder).select("transaction_id", "product_id", "quantity", "unit_price")
+    lines = items.join(headers.select("transaction_id", "ts"), "transaction_id").select("transaction_id", "ts", "product_id", "quantity", "unit_price")
+    later = F.max("ts") + F.expr("INTERVAL 10 DAYS")
+    end = headers.agg(F.min("transaction_id").alias("transaction_id"), later.alias("ts"), F.min("customer_id").alias("customer_id"))
+    unsold = lines.agg(
+        F.min("transaction_id").alias("transaction_id"), later.alias("ts"), F.min("product_id").alias("product_id"), F.lit(0).alias("quantity"), F.lit(0.0).alias("unit_price")
+    )
+    # the first receipt's id, too late to meet its lines, and a line too late to meet its receipt
+    unsold = unsold.withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 DAYS"))
+    streams = []
+    for name, frame, last in (("headers", headers, end), ("lines", lines, unsold)):
+        frame.unionByName(last).write.parquet(f"{path}/{name}")
+        streams.append(spark.readStream.schema(spark.read.parquet(f"{path}/{name}").schema).parquet(f"{path}/{name}"))
+    fact = fact_stream.lines_of_known_receipts(*streams, star_schema.customers(spark, folder), star_schema.products(spark, folder))
+    query = daily_stream.maintain(fact_stream.closed_days(fact), f"{path}/days", f"{path}/checkpoint", "append")
+    query.awaitTermination()
+    daily_stream.require_none_late(query)
+    revenue = F.round("revenue", 2)
+    days = daily_stream.read_daily(spark, f"{path}/days")
+    return days.withColumns({"revenue": revenue, "avg_check": revenue / F.col("transactions_count")})
+
+
 def stream_raw(spark: SparkSession, folder: str) -> DataFrame:
     """What the stream put into Raw, counted by batch against what the receipts announce."""
     receipts = _kept(spark, _receipts(spark, folder), "receipts")
@@ -615,7 +642,7 @@ ALL: tuple[Query, ...] = (
     candidate_mae, best_candidate, linear_model_mae, merged_linear_mae, linear_forecast,
     selected_model, selected_forecast, model_mae, revenue_forecast, trend_forecast,
     stream_daily_sales, stream_ingest_transactions, stream_ingest_items,
-    stream_receipts_daily, stream_raw, stream_rejected, stream_bounded,
+    stream_receipts_daily, stream_closed_days, stream_raw, stream_rejected, stream_bounded,
 )
 
 

@@ -61,10 +61,10 @@ def daily_sales(receipts: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def maintain(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each day that a micro-batch touched, replacing that day's partition, then stop.
+def maintain(daily: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Write each day that a micro-batch touched, or in append mode closed, replacing that day's partition, then stop.
 
-    In update mode a touched day arrives with its full value, so a repeated micro-batch changes nothing.
+    A day arrives with its full value in either mode, so a repeated micro-batch changes nothing.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -78,7 +78,7 @@ def maintain(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     TALLY.listen(daily.sparkSession)
     return (
         daily.writeStream.foreachBatch(write)
-        .outputMode("update")
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
