@@ -73,3 +73,42 @@ def test_empty_table(spark, docs):
 def test_no_python(spark, docs):
     plan = secret_scan.scan(docs, None, "doc_id")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_two_scans_at_once(spark, docs):
+    """Both begin with an empty ledger and add the same blobs: every path still comes once, and nothing is scanned again."""
+    ledger = secret_scan.Ledger(spark)
+    rows = secret_scan.scan(docs, None, "doc_id")
+    for name in ("one", "two"):
+        rows.write.parquet(f"{ledger.root}/scan-{name}")
+    back = secret_scan.join_back(docs, ledger.read(), "doc_id").collect()
+    assert len(back) == len(TEXTS) + 2
+    assert all(listed(r.spans) == plain(TEXTS[4 if r.path is None else r.path]) for r in back)
+    assert secret_scan.scan(docs, ledger.read(), "doc_id").isEmpty()
+
+
+def test_changed_rules_are_another_version(spark, docs):
+    ledger = secret_scan.Ledger(spark)
+    ledger.update(docs, "doc_id")
+    fewer = secret_scan.RULES[:1]
+    assert secret_scan.join_back(docs, ledger.read(), "doc_id", fewer).where("spans is not null").isEmpty()
+    ledger.update(docs, "doc_id", fewer)
+    found = secret_scan.join_back(docs, ledger.read(), "doc_id", fewer).collect()
+    assert all(listed(r.spans) == [x for x in plain(TEXTS[4 if r.path is None else r.path]) if x[0] == "assign"] for r in found)
+
+
+def test_versions_of_a_path(spark):
+    """Findings come back to each historical version of a path, also where two hold the same text."""
+    rows = [("a", 1, "token=abcdefgh"), ("a", 2, "clean"), ("a", 3, "token=abcdefgh"), ("b", 1, None)]
+    history = spark.createDataFrame(rows, "path string, commit int, text string")
+    ledger = secret_scan.Ledger(spark).update(history)
+    assert ledger.count() == 3
+    found = secret_scan.join_back(history, ledger, keys=["commit"]).collect()
+    assert {(r.path, r.commit): len(r.spans) for r in found} == {("a", 1): 1, ("a", 2): 0, ("a", 3): 1, ("b", 1): 0}
+
+
+def test_unreadable_ledgers_are_not_empty_ones(spark, tmp_path):
+    (tmp_path / "scan-x").mkdir()
+    (tmp_path / "scan-x" / "part.parquet").write_text("no table")
+    with pytest.raises(Exception):
+        secret_scan.Ledger(spark, str(tmp_path)).read().collect()

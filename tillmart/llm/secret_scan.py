@@ -2,13 +2,16 @@
 
 Every version of every path is addressed by the SHA-256 of its content (its blob). The ledger is a table with one row for
 each blob and rule version that was scanned, with the spans found in it, empty or not. A scan looks only at pairs which the
-ledger lacks; findings are then joined back to all paths that hold the blob.
+ledger lacks; findings are then joined back to all paths, and all versions of a path, that hold the blob. The rule version is derived
+from the rules themselves, so changed rules are a new version. Two scans at once may both add a blob; it counts once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,17 +50,26 @@ SPAN = "struct<start:bigint,`end`:bigint,rank:int,kind:string>"
 LEDGER = f"blob string, rule_version string, spans array<{SPAN}>"
 
 
-def blobs(versions: DataFrame, path: str = "path") -> DataFrame:
-    """(path, text, blob) of versions with the columns ``path`` and ``text``; a null text counts as empty."""
+def rule_version(rules: Sequence[Rule] = RULES, version: str = VERSION) -> str:
+    """The version that the ledger holds for these rules: the given one, and a digest of every rule."""
+    digest = hashlib.sha256(repr([astuple(rule) for rule in rules]).encode()).hexdigest()
+    return f"{version}-{digest[:16]}"
+
+
+def blobs(versions: DataFrame, path: str = "path", keys: Sequence[str] = ()) -> DataFrame:
+    """(path, keys, text, blob) of versions with the columns ``path`` and ``text``; a null text counts as empty.
+
+    ``keys`` tell the versions of a path apart, such as a commit or a time.
+    """
     text = F.coalesce("text", F.lit(""))
-    return versions.select(F.col(path).alias("path"), text.alias("text"), F.sha2(text, 256).alias("blob"))
+    return versions.select(F.col(path).alias("path"), *keys, text.alias("text"), F.sha2(text, 256).alias("blob"))
 
 
 def scan(versions: DataFrame, ledger: DataFrame | None, path: str = "path", rules=RULES, version: str = VERSION) -> DataFrame:
     """The ledger rows to add for ``versions``: blobs that ``ledger`` has not seen under this rule version."""
     held = blobs(versions, path).select("blob", "text")
     if ledger is not None:
-        seen = ledger.where(F.col("rule_version") == version).select("blob").distinct()
+        seen = ledger.where(F.col("rule_version") == rule_version(rules, version)).select("blob").distinct()
         held = held.join(seen, "blob", "left_anti")
     unseen = held.groupBy("blob").agg(F.first("text").alias("text"))
     hint = "|".join(rule.hint for rule in rules)
@@ -74,7 +86,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None, path: str = "path", rule
     )
     spans = F.array_sort(F.collect_list(found))
     return placed.groupBy("blob").agg(spans.alias("spans")).select(
-        "blob", F.lit(version).alias("rule_version"), F.col("spans").cast(f"array<{SPAN}>").alias("spans")
+        "blob", F.lit(rule_version(rules, version)).alias("rule_version"), F.col("spans").cast(f"array<{SPAN}>").alias("spans")
     )
 
 
@@ -92,17 +104,22 @@ def _pieces(rule: Rule, rank: int) -> Column:
     return F.struct(F.lit(rank).alias("rank"), F.filter(zipped, lambda z: z["hit"].isNotNull()).alias("pieces"))
 
 
-def join_back(versions: DataFrame, ledger: DataFrame, path: str = "path", version: str = VERSION) -> DataFrame:
-    """(path, blob, spans) for every row of ``versions``; spans is null where the ledger lacks the blob."""
-    paths = blobs(versions, path).select("path", "blob")
-    findings = ledger.where(F.col("rule_version") == version).select("blob", "spans")
-    return paths.join(findings, "blob", "left").select("path", "blob", "spans")
+def join_back(
+    versions: DataFrame, ledger: DataFrame, path: str = "path", rules=RULES, version: str = VERSION, keys: Sequence[str] = ()
+) -> DataFrame:
+    """(path, keys, blob, spans) for every row of ``versions``; spans is null where the ledger lacks the blob under these rules."""
+    held = blobs(versions, path, keys).select("path", *keys, "blob")
+    own = ledger.where(F.col("rule_version") == rule_version(rules, version))
+    # grouped by what is joined on: once shuffled
+    findings = own.groupBy("blob").agg(F.first("spans").alias("spans"))
+    return held.join(findings, "blob", "left").select("path", *keys, "blob", "spans")
 
 
 class Ledger:
     """The ledger as Parquet under a shared folder, one folder for each scan.
 
-    Blob and spans are in one row, so a scan that fails leaves neither. A repeated scan adds nothing.
+    Blob and spans are in one row, so a scan that fails leaves neither. A repeated scan adds nothing. Of scans at the same time each adds
+    what it found unseen, so rows may be repeated; they are equal, and :func:`scan` and :func:`join_back` take them once.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -111,7 +128,9 @@ class Ledger:
     def read(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LEDGER).parquet(f"{self.root}/scan-*")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def update(self, versions: DataFrame, path: str = "path", rules=RULES, version: str = VERSION) -> DataFrame:
@@ -129,4 +148,4 @@ def find(spark: SparkSession, docs: DataFrame, root: str | None = None, rules=RU
     columns are not looked at. An empty table gives an empty table.
     """
     ledger = Ledger(spark, root).update(docs, "doc_id", rules, version)
-    return join_back(docs, ledger, "doc_id", version).withColumnRenamed("path", "doc_id")
+    return join_back(docs, ledger, "doc_id", rules, version).withColumnRenamed("path", "doc_id")
