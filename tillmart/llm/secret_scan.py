@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tillmart.llm.common import stored
 from tillmart.session import scratch_path
 
 
@@ -107,11 +108,14 @@ def _pieces(rule: Rule, rank: int) -> Column:
 def join_back(
     versions: DataFrame, ledger: DataFrame, path: str = "path", rules=RULES, version: str = VERSION, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """(path, keys, blob, spans) for every row of ``versions``; spans is null where the ledger lacks the blob under these rules."""
+    """(path, keys, blob, spans) for every row of ``versions``; spans is null where the ledger lacks the blob under these rules.
+
+    The findings, each blob once, are written to the shared folder first.
+    """
     held = blobs(versions, path, keys).select("path", *keys, "blob")
     own = ledger.where(F.col("rule_version") == rule_version(rules, version))
-    # grouped by what is joined on: once shuffled
-    findings = own.groupBy("blob").agg(F.first("spans").alias("spans"))
+    # written, as the adaptive join can split a blob of very many paths only if no grouping shares its shuffle
+    findings = stored(ledger.sparkSession, own.groupBy("blob").agg(F.first("spans").alias("spans")), "findings")
     return held.join(findings, "blob", "left").select("path", *keys, "blob", "spans")
 
 
