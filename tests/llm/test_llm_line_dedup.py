@@ -82,3 +82,71 @@ def test_no_python(spark):
     docs = spark.createDataFrame([(1, LONG)], "doc_id bigint, text string")
     plan = line_dedup.dedup_lines(spark, docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _nodes(frame, spark):
+    with line_dedup._sorted_files(spark):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [name for name in ("Exchange", "Sort ", "SortMergeJoin", "BroadcastHashJoin") if name in plan]
+
+
+def test_order_of_the_runs_is_used(spark):
+    """Merging runs and joining a batch with them neither moves nor sorts a row, in a later session either."""
+    docs = spark.createDataFrame([(n, f"{LONG} {n % 7}") for n in range(60)], "doc_id bigint, text string")
+    lines = line_dedup.line_hashes(docs)
+    root = scratch_path(spark, "runs")
+    runs = line_dedup.LineRuns(spark, root)
+    own = [runs.add(lines.where(f"doc_id % 3 = {n}")) for n in range(3)]
+    for path in own:
+        spark.sql(f"DROP TABLE line_run_{path.rsplit('-', 1)[1]}")  # what a new session knows
+    later = line_dedup.LineRuns(spark, root)
+    assert _nodes(later._pair(*later.levels[0][:2]), spark) == ["SortMergeJoin"]
+    standing = later.standing(own[2], own[:2])
+    assert _nodes(standing, spark) == ["SortMergeJoin"]
+    assert sorted(map(tuple, standing.collect())) == sorted(map(tuple, later.read().collect()))
+
+
+def test_other_number_of_shuffle_partitions(spark):
+    """A store keeps its buckets, and its order, in a session of other settings."""
+    docs = spark.createDataFrame([(n, f"{LONG} {n % 7}") for n in range(60)], "doc_id bigint, text string")
+    lines = line_dedup.line_hashes(docs)
+    root, name = scratch_path(spark, "runs"), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    first = line_dedup.LineRuns(spark, root).add(lines.where("doc_id < 20"))
+    try:
+        spark.conf.set(name, "5")
+        runs = line_dedup.LineRuns(spark, root)
+        own = runs.add(lines.where("doc_id >= 20"))
+        assert runs.buckets == int(before) and _nodes(runs.standing(own, [first]), spark) == ["SortMergeJoin"]
+        assert sum(r.documents for r in runs.read().collect()) == 60
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_two_sessions_at_once(spark):
+    root = scratch_path(spark, "runs")
+    docs = spark.createDataFrame([(1, LONG)], "doc_id bigint, text string")
+    one, two = line_dedup.LineRuns(spark, root), line_dedup.LineRuns(spark, root)
+    one.dedup(docs)
+    with pytest.raises(RuntimeError, match="batch 1"):
+        two.dedup(docs)
+    again = line_dedup.LineRuns(spark, root)
+    with pytest.raises(Exception):
+        again.add(docs)  # no line hashes: fails and gives its claim back
+    again.dedup(docs)
+    assert len(line_dedup.LineRuns(spark, root).levels[0]) == 2
+
+
+def test_clashing_columns(spark):
+    rows = [(n, f"own\n{LONG}", "a", "b", "c", 1, 2) for n in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _kept string, _stay string, _lines string, _N_LINES int, body int")
+    found = line_dedup.dedup_lines(spark, docs)
+    assert found.columns == ["doc_id", "text", "_stay", "_lines", "body", "_kept", "_n_lines", "_n_dropped"]
+    got = sorted((r.doc_id, r._stay, r._lines, r.body, r._kept, r._n_dropped) for r in found.collect())
+    assert got == [(n, "b", "c", 2, "own" if n < 4 else f"own\n{LONG}", int(n < 4)) for n in range(5)]
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([(f"d{n}", LONG) for n in range(6)], "doc_id string, text string")
+    got = sorted((r.doc_id, r._kept) for r in line_dedup.dedup_lines(spark, docs).collect())
+    assert got == [(f"d{n}", LONG if n == 5 else "") for n in range(6)]
