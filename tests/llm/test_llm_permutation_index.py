@@ -71,3 +71,56 @@ def test_repeated_ids(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (1, [1.0, 5.0])] * 4000, "vec_id bigint, embedding array<double>")
     found = permutation_index.nearest(spark, few, few.where("vec_id = 0"), sample=50).collect()
     assert [(r.vec_id, r.score) for r in found] == [(1, 11.0)]
+
+
+def recall(spark, frame, wanted, **settings):
+    got = {}
+    for row in permutation_index.nearest(spark, frame, frame.where("vec_id % 20 = 0"), **settings).collect():
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    assert got.keys() == wanted.keys() and all(len(set(v)) == len(v) == 20 for v in got.values())
+    return np.mean([len(set(got[q]) & set(wanted[q])) / 20 for q in wanted])
+
+
+def test_many_blocks(spark):
+    """The best of several blocks are merged; all vectors reranked give the brute-force result."""
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = frame.collect()
+    wanted = brute(np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64))
+    assert recall(spark, frame, wanted, block=150, reranked=len(rows)) == 1.0
+    found = recall(spark, frame, wanted, block=150)
+    print(f"recall over 14 blocks: {found:.3f}")
+    assert found >= 0.9
+
+
+def test_ten_times_the_rows(spark):
+    """A query's reranked vectors grow at most fourfold, and the recall holds without any structure in the vectors."""
+
+    def reranked(size):
+        blocks = -(-size // permutation_index.block_for(size))
+        share = permutation_index.reranked_for(size) / blocks
+        return blocks * (share + share**0.5 if blocks > 1 else share)
+
+    assert reranked(20_000) <= 4 * reranked(2_000) and reranked(20_000_000) <= 4 * reranked(2_000_000)
+    draw = np.random.default_rng(8).normal(size=(20_000, 64)).astype(np.float32)
+    draw /= np.linalg.norm(draw, axis=1)[:, None]
+    frame = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(draw)], "vec_id bigint, embedding array<float>").where("true")
+    asked = list(range(0, 20_000, 200))
+    exact = draw.astype(np.float64)
+    wanted = {}
+    for query in asked:
+        score = exact @ exact[query]
+        score[query] = -np.inf
+        wanted[query] = np.argsort(-score, kind="stable")[:20].tolist()
+    got = {}
+    for row in permutation_index.nearest(spark, frame, frame.where("vec_id % 200 = 0")).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    found = np.mean([len(got[q] & set(wanted[q])) / 20 for q in asked])
+    print(f"recall over 20,000 vectors, {reranked(20_000):.0f} reranked: {found:.3f}")
+    assert found >= 0.9
+
+
+def test_each_vector_goes_to_one_block(spark):
+    """Only queries are copied."""
+    frame = spark.createDataFrame([(n, [1.0, float(n)]) for n in range(3000)], "vec_id bigint, embedding array<double>")
+    plan = permutation_index.nearest(spark, frame, frame.where("vec_id % 20 = 0"), block=300)._jdf.queryExecution().toString()
+    assert plan.count("explode(sequence") >= 1 and "CoGroup" not in plan and "Join" not in plan

@@ -5,12 +5,18 @@ pivot, with the place that the pivot has in the vector's order. A query walks th
 distance: the differences of places, where a pivot that a vector lacks stands behind its last one. The vectors with the
 smallest distances are reranked by the measure itself.
 
-The index is cut into blocks of bounded size by a hash of the id, the queries likewise; a task takes one block of each, and the best of the
-blocks are merged for each query. No task holds more than two blocks, however large the tables are.
+The index is cut into blocks by a hash of the id, and each of its vectors goes to one task. Queries are streamed through the blocks
+in batches, and the best of the blocks are merged for each query. A task holds one block and one batch of queries, however large the tables are.
+
+What a query costs grows more slowly than the index of N vectors: pivots grow with the square root of N, so the files
+that a query walks have about 1,400 sqrt(N) postings in all; blocks grow likewise, so a query is sent to about sqrt(N)/18 of them;
+and 8 N^0.55 vectors are reranked for it, 4 times as many for 10 times the rows. Blocks are random parts of the index, so each one reranks its share
+of these, and a standard deviation more.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,15 +26,26 @@ from pyspark.sql import functions as F
 
 from tillmart.llm.common import smallest_hashes, stored
 
-PIVOTS = 256
 ORDER = 64  # pivots kept for each vector
-SHARE = 0.3  # of a block's vectors that are reranked
-LEAST = 400  # but at least so many
-BLOCK = 8_192  # vectors in a block of the index, on average
-QUERIES = 2_048  # queries in a block, on average
+LEAST = 500  # vectors that are reranked at least, in the whole index
+LARGEST_BLOCK = 131_072  # vectors in a block of the index, whose size stops growing at 53 million vectors
 PIVOT_SAMPLE = 4_096  # vectors that the pivots are drawn from: those with the smallest hash
 
 
+def pivots_for(size: int) -> int:
+    return max(64, round(3 * size**0.5))
+
+
+def block_for(size: int) -> int:
+    """Vectors in a block, on average."""
+    return min(LARGEST_BLOCK, max(2_048, round(18 * size**0.5)))
+
+
+def reranked_for(size: int) -> int:
+    """Vectors that are reranked for a query, but for what chance adds in each block."""
+    return max(LEAST, round(8 * size**0.55))
+
+
 @dataclass(frozen=True)
 class Pivots:
     vectors: np.ndarray
@@ -40,10 +57,12 @@ class Pivots:
 
 
 class BlockIndex:
-    """Inverted files of one block. Rows are in ascending order of id."""
+    """Inverted files of one block, which reranks its share of ``reranked`` of all vectors. Rows are in ascending order of id."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: Pivots):
-        self.ids, self.vectors, self.pivots = ids, vectors, pivots
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: Pivots, reranked: int, size: int):
+        self.ids, self.vectors = ids, vectors
+        share = reranked * len(ids) / size
+        self.most = int(np.ceil(share + share**0.5)) if len(ids) < size else reranked
         orders = pivots.orders(vectors)
         self.order = orders.shape[1]
         pivot, row = orders.ravel(), np.repeat(np.arange(len(ids)), self.order)
@@ -64,7 +83,7 @@ class BlockIndex:
 
     def search(self, query: int, vector: np.ndarray, order: np.ndarray, k: int) -> list[tuple[int, float]]:
         """The k best rows but for the query's own, by inner product and then by id."""
-        most = max(LEAST, int(SHARE * len(self.ids)))
+        most = self.most
         if most < len(self.ids):
             rank = self.footrule(order).astype(np.int64) * len(self.ids) + np.arange(len(self.ids))
             rows = np.sort(np.argpartition(rank, most)[:most])
@@ -88,7 +107,14 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(
-    spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = PIVOTS, sample: int = PIVOT_SAMPLE
+    spark: SparkSession,
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 20,
+    pivots: int | None = None,
+    sample: int = PIVOT_SAMPLE,
+    block: int | None = None,
+    reranked: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` the k nearest rows of ``vectors`` found, both (vec_id, embedding).
 
@@ -96,6 +122,8 @@ def nearest(
     no candidate. Rows whose vec_id is null, or whose vector is null, empty, zero or has components that are null or not finite, take no
     part; nor do vectors of another length than the most frequent one of the sample that the pivots are drawn from. Of repeated
     vec_ids the smallest vector takes part, compared component by component. Other columns are not looked at. An empty table on either side gives an empty result.
+
+    ``pivots``, ``block`` and ``reranked`` follow from the number of vectors where they are not given. At most ``sample`` pivots are there.
     """
     def clean(frame: DataFrame) -> DataFrame:
         rows = frame.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
@@ -115,31 +143,40 @@ def nearest(
     width = int(lengths.mode().min())
     rows = np.array(drawn["embedding"][lengths == width].tolist(), np.float64)
     unique = np.unique(rows, axis=0)  # copies of one vector would be one pivot
-    chosen = np.random.default_rng(11).permutation(len(unique))[:pivots]
+    chosen = np.random.default_rng(11).permutation(len(unique))[: pivots or pivots_for(size)]
     shipped = spark.sparkContext.broadcast(Pivots(unique[chosen] / np.linalg.norm(unique[chosen], axis=1)[:, None]))
 
-    blocks = -(-size // BLOCK)
-    query_blocks = max(1, -(-asked.count() // QUERIES))
-
-    def dealt(frame: DataFrame, own: int, other: int, mine: str, others: str) -> DataFrame:
-        number = F.pmod(F.xxhash64("vec_id"), F.lit(own)).alias(mine)
-        same = frame.where(F.size("embedding") == width)
-        return same.select("vec_id", "embedding", number, F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(others))
-
-    def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(block) and len(asked):
-            block, asked = block.sort_values("vec_id", kind="stable"), asked.sort_values("vec_id", kind="stable")
-            known = BlockIndex(block["vec_id"].to_numpy(), np.array(block["embedding"].tolist(), np.float64), shipped.value)
-            vectors = np.array(asked["embedding"].tolist(), np.float64)
-            orders = shipped.value.orders(vectors)
-            for n, query in enumerate(asked["vec_id"].tolist()):
-                found += [(query, vec, score) for vec, score in known.search(query, vectors[n], orders[n], k)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    left = dealt(index, blocks, query_blocks, "block", "query_block").groupBy("block", "query_block")
-    right = dealt(asked, query_blocks, blocks, "query_block", "block").groupBy("block", "query_block")
-    best = left.cogroup(right).applyInPandas(search, columns)
+    blocks = -(-size // (block or block_for(size)))
+    most = reranked or reranked_for(size)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come by block, those of the index before the queries."""
+        number, ids, rows, known = None, [], [], None
+        for batch in batches:
+            for here, part in batch.groupby("block", sort=False):
+                if here != number:
+                    number, ids, rows, known = here, [], [], None
+                matrix, asked, named = np.array(part["embedding"].tolist(), np.float64), part["asked"].to_numpy(), part["vec_id"].to_numpy()
+                if not asked.all():
+                    ids.append(named[~asked])
+                    rows.append(matrix[~asked])
+                if not asked.any() or not ids:
+                    continue
+                if known is None:
+                    known = BlockIndex(np.concatenate(ids), np.concatenate(rows), shipped.value, most, size)
+                    rows = []
+                found = []
+                for query, vector, own in zip(named[asked].tolist(), matrix[asked], shipped.value.orders(matrix[asked])):
+                    found += [(query, vec, score) for vec, score in known.search(query, vector, own, k)]
+                frame = pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                yield frame.astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+
+    same = F.size("embedding") == width
+    posted = index.where(same).select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asked"), "vec_id", "embedding")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    sent = asked.where(same).select(everywhere, F.lit(True).alias("asked"), "vec_id", "embedding")
+    dealt = posted.unionByName(sent).repartitionById(blocks, F.col("block"))
+    best = dealt.sortWithinPartitions("block", "asked", "vec_id").mapInPandas(search, columns)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
