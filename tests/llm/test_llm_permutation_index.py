@@ -124,3 +124,20 @@ def test_each_vector_goes_to_one_block(spark):
     frame = spark.createDataFrame([(n, [1.0, float(n)]) for n in range(3000)], "vec_id bigint, embedding array<double>")
     plan = permutation_index.nearest(spark, frame, frame.where("vec_id % 20 = 0"), block=300)._jdf.queryExecution().toString()
     assert plan.count("explode(sequence") >= 1 and "CoGroup" not in plan and "Join" not in plan
+
+
+def test_footrule():
+    """Distances from the postings differ from sums over all pivots by one number for all rows."""
+    draw = np.random.default_rng(3)
+    pivots = permutation_index.Pivots(draw.normal(size=(100, 5)))
+    vectors, query = draw.normal(size=(300, 5)), draw.normal(size=(1, 5))
+    index = permutation_index.BlockIndex(np.arange(300), vectors, pivots, 300, 300)
+
+    def places(order):
+        found = np.full(100, len(order))
+        found[order] = np.arange(len(order))
+        return found
+
+    order = pivots.orders(query)[0]
+    wanted = [int(np.abs(places(own) - places(order)).sum()) for own in pivots.orders(vectors)]
+    assert len(set((index.footrule(order) - wanted).tolist())) == 1 and len(set(wanted)) > 100
