@@ -63,6 +63,25 @@ def test_ends_when_nothing_comes_or_time_is_over(spark, tmp_path):
     assert (outcome.reason, outcome.wanted) == (progress.TIME, 0) and outcome.rows > 0
 
 
+def test_a_long_micro_batch_is_not_idle(spark, tmp_path):
+    """Its events come at once and take longer than the idle time to write; then none come any more."""
+    deliver(tmp_path / "topic", "1.txt", event(1), event(2))
+    topic = spark.readStream.text(str(tmp_path / "topic"))
+    written = []
+
+    def slow(batch, number):
+        time.sleep(8)
+        written.append(batch.count())
+
+    for announced, reason in ((2, progress.ANNOUNCED), (3, progress.IDLE)):
+        progress.TALLY.listen(spark)
+        counted = progress.awaited(topic, topic["value"].contains(BATCH))
+        query = counted.writeStream.foreachBatch(slow).option("checkpointLocation", f"{tmp_path}/{announced}").trigger(processingTime="0 seconds").start()
+        outcome = progress.end_when(query, announced, idle=3, total=90)
+        assert (outcome.reason, outcome.wanted, outcome.rows) == (reason, 2, 2)
+    assert written == [2, 2]
+
+
 def test_more_than_a_hundred_micro_batches(spark, tmp_path):
     for n in range(104):
         deliver(tmp_path / "topic", f"{n}.txt", event(n))

@@ -108,6 +108,8 @@ def end_when(
     """Wait until ``announced`` events of the awaited batch were written, or no event came for ``idle`` seconds, or ``total``
     seconds have passed since ``begun`` (by the monotonic clock; default: now); then stop the query.
 
+    Events that are still being written have come, so a micro-batch that takes longer than ``idle`` does not end the read.
+
     ``query`` reads what :func:`awaited` counts and polls for more, in a session that :data:`TALLY` listens to. Only whole micro-batches
     count, so one that is cut short by the stop is read again by the next run. A query that fails raises its error here.
     """
@@ -117,6 +119,8 @@ def end_when(
         sums.changed = max(sums.changed, begun)
         while True:
             now = time.monotonic()
+            if query.status["isDataAvailable"]:
+                sums.changed = now
             if sums.wanted >= announced:
                 reason = ANNOUNCED
             elif sums.ended or not query.isActive:
