@@ -11,3 +11,12 @@ def test_the_chart_limit_keeps_more_than_500_days(spark, monkeypatch):
     daily = spark.createDataFrame([(day + dt.timedelta(days=n), 1, 1, 1.0, 1.0) for n in range(700)], schemas.SALES_DAILY)
     monkeypatch.setattr(queries, "sales_daily", lambda spark, folder: daily)
     assert queries.trend_revenue_limited(spark, "").count() == 700
+
+
+def test_reports_of_the_chain_hold_the_forecast(spark, monkeypatch):
+    rows = [("kpi_revenue", None, 5.5), ("forecast_days", "RandomForest", 7.0)]
+    rows += [("trend_forecast", label, value) for label, value in (("a", 12.25), ("b", float("nan")), ("c", None))]
+    chain = spark.createDataFrame(rows, "report string, label string, value double")
+    monkeypatch.setattr(queries, "_chain", lambda spark, folder: chain)
+    found = {(r.report, r.label): r.value for r in queries.pipeline_reports(spark, "").collect()}
+    assert found == {("kpi_revenue", None): 5.5, ("trend_forecast", "a"): 1.0, ("trend_forecast", "b"): 0.0, ("trend_forecast", "c"): 0.0}
