@@ -133,3 +133,21 @@ def test_two_streams(spark, tmp_path):
     assert found == wanted[: len(found)] and len(found) < 4
     found = run(second + [("end", far, "c1")], rest + [("last", far, "p1", 1, 1.0)])
     assert found == wanted
+
+
+def test_large_state_is_stored_once(spark, tmp_path):
+    """What a micro-batch adds to the state is in the files of the store alone, not in a log of the changes as well."""
+    at = dt.datetime(2026, 7, 4, 9)
+    headers = [(n, at, n % 7) for n in range(30000)] + [(-1, at + dt.timedelta(days=10), 0)]
+    lines = [(n, at, n % 5, 1, 2.0) for n in range(30000)] + [(-2, at + dt.timedelta(days=10), 0, 0, 0.0)]
+    shapes = "transaction_id bigint, ts timestamp_ntz, customer_id bigint", "transaction_id bigint, ts timestamp_ntz, product_id bigint, quantity int, unit_price double"
+    for name, rows, shape in zip(("headers", "lines"), (headers, lines), shapes):
+        spark.createDataFrame(rows, shape).write.parquet(f"{tmp_path}/{name}")
+    topics = [spark.readStream.schema(shape).parquet(f"{tmp_path}/{name}") for name, shape in zip(("headers", "lines"), shapes)]
+    met = fact.lines_of_known_receipts(*topics, spark.range(7).toDF("customer_id"), spark.range(5).toDF("product_id"))
+    query = daily.maintain(fact.closed_days(met), f"{tmp_path}/days", f"{tmp_path}/checkpoint", "append")
+    query.awaitTermination()
+    daily.require_none_late(query)
+    assert [tuple(row)[1:4] for row in daily.read_daily(spark, f"{tmp_path}/days").collect()] == [(30000, 30000, 60000.0)]
+    state = [f for f in (tmp_path / "checkpoint" / "state").rglob("*") if f.is_file() and not f.name.startswith(".")]
+    assert any(f.suffix == ".sst" for f in state) and not any(f.suffix == ".changelog" for f in state)

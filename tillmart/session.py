@@ -13,8 +13,10 @@ from pyspark.sql import SparkSession
 #   skew join splits that partition over many tasks. It is forced because the fact join is followed by an
 #   aggregation that reuses its partitioning, and Spark would otherwise give up the split to keep the reuse.
 # * State: receipts seen by a stream are remembered on disk rather than on the heap.
-#   Commits upload the changes, not the whole store, rows are not counted at every write, and the four stores of a
+#   Commits upload the new files of the store and no log of its changes beside them: a large micro-batch would be kept twice.
+#   These files are compressed, rows are not counted at every write, and the four stores of a
 #   join of two streams are one with four column families. A checkpoint begun otherwise goes on as it was.
+# * Files: Parquet tables, intermediate ones too, are compressed more than by default.
 # * Time zone: receipts keep their wall clock as TIMESTAMP_NTZ; streaming watermarks need TIMESTAMP, and the
 #   two only agree day by day when the session zone is UTC.
 SETTINGS = {
@@ -23,10 +25,12 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
